@@ -11,6 +11,7 @@ from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
 from cohort_risk.operators import enrich, environment, individual, population, validate
 from cohort_risk.plans import features
+from cohort_risk.session import stored
 
 QUERIES = {}
 ORACLES = {}
@@ -391,7 +392,8 @@ def _base(spark, sf):
 
 
 def _wide(spark, sf):
-    return population.transform_population(clean_population(spark, sf), ["row_order"])[1]
+    wide = population.transform_population(clean_population(spark, sf), ["row_order"])[1]
+    return stored(wide, "pop_wide")
 
 
 @register("tiered_join", q.with_ctes(
@@ -456,7 +458,8 @@ _FULL = _full_sql()
 
 def fitted(spark, sf) -> tuple[features.FeatureModel, DataFrame]:
     ind = clean_individuals(spark, sf)
-    model = features.fit(ind, _wide(spark, sf), clean_environment(spark, sf), fx.AS_OF_YEAR)
+    wide = population.transform_population(clean_population(spark, sf), ["row_order"])[1]
+    model = features.fit(ind, wide, clean_environment(spark, sf), fx.AS_OF_YEAR)
     return model, ind
 
 

@@ -110,13 +110,13 @@ def imputer_stats(df: DataFrame, approx: bool = False,
     long = df.select(*[F.col(c).cast("double").alias(c) for c in medians + modes]).unpivot(
         [], medians + modes, "feature", "value")
     counts = value_counts(long, ["feature"])
-    med = exact_quantiles(counts.filter(F.col("feature").isin(medians)), ["feature"],
-                          {"value": 0.5}) if medians else None
-    mod = value_modes(counts.filter(F.col("feature").isin(modes)), ["feature"], name="value")
-    out = mod.select("feature", F.lit("mode").alias("stat"), "value")
-    if med is not None:
-        out = out.unionByName(med.select("feature", F.lit("median").alias("stat"), "value"))
-    return out
+    # no filter by feature before this point: both branches then share one shuffle
+    both = exact_quantiles(counts, ["feature"], {"median": 0.5}).join(
+        value_modes(counts, ["feature"]), "feature")
+    is_mode = F.col("feature").isin(modes) if modes else F.lit(False)
+    return both.select(
+        "feature", F.when(is_mode, "mode").otherwise("median").alias("stat"),
+        F.when(is_mode, F.col("mode")).otherwise(F.col("median")).alias("value"))
 
 
 def stats_dict(stats: DataFrame) -> dict[str, float]:

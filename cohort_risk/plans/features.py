@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cohort_risk import config as C
 from cohort_risk.operators import enrich, individual
-from cohort_risk.session import lookup_side
+from cohort_risk.session import lookup_side, stored
 
 _STATS = T.StructType().add("kind", "string").add("feature", "string").add("value", "double")
 
@@ -87,15 +87,17 @@ def fit(ind: DataFrame, pop_wide: DataFrame | None, env: DataFrame | None,
     model = FeatureModel(as_of_year, {}, {}, {})
     prepared = individual.prepare(ind, as_of_year)
     model.imputer = individual.stats_dict(individual.imputer_stats(prepared, approx))
-    model.pop_wide = lookup_side(pop_wide, "pop_wide") if pop_wide is not None else None
+    # each lookup serves several joins here and in every later transform
+    model.pop_wide = stored(pop_wide, "pop_wide") if pop_wide is not None else None
     if env is not None:
-        model.env_wide = lookup_side(enrich.environment_wide(env), "env_wide")
+        model.env_wide = stored(enrich.environment_wide(env), "env_wide")
     strata = (model.base(ind).groupBy("country_iso3", "year", "sex", "age_group_bin")
               .agg(F.count("*").alias("__weight")))
     joined = model.context(strata)
     if any(c.startswith(C.FILL_PREFIXES) for c in joined.columns):
         stats: dict[str, dict[str, float]] = {}
-        counts = enrich.context_counts(joined, weight="__weight")
+        # bounded by the strata, and read by several statistics
+        counts = stored(enrich.context_counts(joined, weight="__weight"), "context_counts")
         for row in enrich.fill_stats(counts).collect():  # three rows per context column
             stats.setdefault(row["stat"], {})[row["feature"]] = row["value"]
         model.fills = stats.get("median", {})
