@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohort_risk import config as C
 from cohort_risk.functions.stats import kolmogorov_pvalue, normal_cdf
 from cohort_risk.operators.ranks import exact_quantiles, running_totals, value_counts
-from cohort_risk.session import lookup_side
+from cohort_risk.session import lookup_side, stored
 
 DECILES = {f"q{i}": i / 10 for i in range(11)}
 
@@ -39,9 +39,13 @@ def moments(counts: DataFrame, n: str = "n") -> DataFrame:
         F.sqrt(F.try_divide(F.col("__ss"), F.col("n") - 1)).alias("std"))
 
 
-def baseline_stats(long: DataFrame, rules: C.DriftRules = C.DriftRules()) -> DataFrame:
+def stored_counts(long: DataFrame) -> DataFrame:
+    """Distinct values with counts, written once: several statistics read them."""
+    return stored(value_counts(long, ["feature"]), "value_counts")
+
+
+def baseline_stats(counts: DataFrame, rules: C.DriftRules = C.DriftRules()) -> DataFrame:
     """One row per feature: moments, median, p5, p95 and the distinct decile edges."""
-    counts = value_counts(long, ["feature"])
     quantiles = exact_quantiles(
         counts, ["feature"], {**DECILES, "median": 0.5, "p5": 0.05, "p95": 0.95})
     edges = F.array_sort(F.array_distinct(F.array(*DECILES)))
@@ -81,8 +85,9 @@ def histogram(counts: DataFrame, bins: DataFrame, n: str = "n",
 
 def compute_baseline(long: DataFrame, rules: C.DriftRules = C.DriftRules()) -> DataFrame:
     """Baseline table with ``bin_edges`` and ``bin_counts`` arrays, to be stored."""
-    stats = baseline_stats(long, rules)
-    cells = histogram(value_counts(long, ["feature"]), bins_of(stats))
+    counts = stored_counts(long)
+    stats = stored(baseline_stats(counts, rules), "baseline_stats")  # one row per feature
+    cells = histogram(counts, bins_of(stats))
     arrays = cells.groupBy("feature").agg(
         F.array_sort(F.collect_list(F.struct("bin", "bin_count"))).alias("__cells"))
     return (stats.join(arrays, "feature")
@@ -150,7 +155,7 @@ def detect_drift(current: DataFrame, baseline: DataFrame,
 
     Features with fewer than ``rules.min_current`` values are left out.
     """
-    counts = value_counts(current, ["feature"])
+    counts = stored_counts(current)
     means = counts.groupBy("feature").agg(
         F.sum("n").alias("n_current"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("current_mean"),
