@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_risk import config as C
+from cohort_risk.operators.dedup import keep_first
 
 
 def performance_metrics(scored: DataFrame) -> DataFrame:
@@ -82,3 +85,10 @@ def retrain_decision(report: DataFrame, f1: DataFrame | None = None,
         "n_alert", "n_warn",
         F.concat_ws("; ", "r1", "r2", "r3", forced).alias("reasons"),
     ).withColumn("retrain_triggered", F.col("reasons") != "")
+
+
+def with_truth(scored: DataFrame, truth: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Scored rows with ``true_label`` where known; one label per patient."""
+    labels = keep_first(truth.filter(F.col("patient_id").isNotNull()), ["patient_id"], order_by)
+    base = scored.drop("true_label")
+    return base.join(labels.select("patient_id", "true_label"), "patient_id", "left")

@@ -70,27 +70,29 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: dict[str, f
                .withColumn("__end", F.sum("__size").over(running))
                .withColumn("__total", F.sum("__size").over(Window.partitionBy(*groups)))
                .withColumn("__start", F.col("__end") - F.col("__size")))
-    positions = {name: (F.lit(float(p)) * (F.col("__total") - 1)) for name, p in probs.items()}
-    ranks = [fn(pos) for pos in positions.values() for fn in (F.floor, F.ceil)]
-    wanted = located.filter(
-        F.exists(F.array(*ranks),
-                 lambda r: (r >= F.col("__start")) & (r < F.col("__end"))))
+    listed = ", ".join(f"{float(p)!r}D" for p in probs.values())
+    ranks = (f"flatten(transform(array({listed}), "
+             "p -> array(floor(p * (__total - 1)), ceil(p * (__total - 1)))))")
+    wanted = (located.withColumn("__ranks", F.expr(
+        f"filter(array_distinct({ranks}), r -> r >= __start AND r < __end)"))
+        .filter("size(__ranks) > 0"))
     inside = Window.partitionBy(*groups, "__bucket").orderBy(value)
     ranked = (cut.join(wanted, [*groups, "__bucket"])
               .withColumn("__hi", F.col("__start") + F.sum(count).over(inside))
               .withColumn("__lo", F.col("__hi") - F.col(count)))
+    hits = ranked.select(*groups, value, "__total", F.explode(
+        F.expr("filter(__ranks, r -> r >= __lo AND r < __hi)")).alias("__rank"))
+    # two ranks per wanted quantile, so the map is small
+    picked = hits.groupBy(*groups).agg(
+        F.max("__total").alias("__total"),
+        F.map_from_entries(F.collect_list(F.struct("__rank", value))).alias("__at"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("__lo")) & (rank < F.col("__hi")), F.col(value)))
+    def interpolated(p: float) -> Column:
+        pos = f"({float(p)!r}D * (__total - 1))"
+        return F.expr(f"__at[floor{pos}] + (__at[ceil{pos}] - __at[floor{pos}]) "
+                      f"* ({pos} - floor{pos})")
 
-    picked = ranked.groupBy(*groups).agg(
-        F.max("__total").alias("__total"),
-        *[at(F.floor(pos)).alias(f"__f_{name}") for name, pos in positions.items()],
-        *[at(F.ceil(pos)).alias(f"__c_{name}") for name, pos in positions.items()])
-    return picked.select(
-        *groups,
-        *[(F.col(f"__f_{n}") + (F.col(f"__c_{n}") - F.col(f"__f_{n}"))
-           * (pos - F.floor(pos))).alias(n) for n, pos in positions.items()])
+    return picked.select(*groups, *[interpolated(p).alias(n) for n, p in probs.items()])
 
 
 def value_modes(counts: DataFrame, groups: Sequence[str], value: str = "value",

@@ -74,12 +74,12 @@ def write_validated(tagged: DataFrame, path: str, name: str, snapshot_ts: str) -
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path).filter(~F.col("rejected"))
+    rows = spark.read.parquet(path).filter(F.col("rejected") == "false")
     return rows.drop("_reject", "_source", "rejected", "snapshot_ts")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path).filter("rejected")
+    rows = spark.read.parquet(path).filter(F.col("rejected") == "true")
     return rows.withColumn("_reasons", F.split("_reject", "; ")).drop("rejected")
 
 
