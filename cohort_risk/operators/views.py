@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
-from cohort_risk.session import lookup_side
 
 
 def patient_scores(scored: DataFrame) -> DataFrame:
@@ -52,8 +51,8 @@ def population_heatmap(scored: DataFrame, pop_long: DataFrame | None = None,
     if updated_at is not None:
         out = out.withColumn("updated_at", updated_at)
     if pop_long is not None:
-        out = out.join(lookup_side(indicator_means(pop_long), "indicators"),
-                       "country_iso3", "left")
+        # both sides are aggregates; adaptive execution picks the join
+        out = out.join(indicator_means(pop_long), "country_iso3", "left")
     return out
 
 

@@ -162,6 +162,11 @@ def gbd_records(rows: DataFrame, causes: Sequence[str] = tuple(C.GBD_CAUSES),
     }, ingested_at)
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files as ``payload``, for documents without a single row type."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+
+
 def worldbank_records(payloads: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Rows of ``[meta, rows[]]`` payload texts ``(indicator_name, payload)``."""
     rows = payloads.select("indicator_name", F.inline(F.from_json(
