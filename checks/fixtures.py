@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF_YEAR = 2024
 
 INDIVIDUAL = """
-SELECT concat('p', c_custkey) AS patient_id, seq, 'demo' AS source, n_name AS country_iso3, r_name AS region,
+SELECT concat('p', c_custkey) AS patient_id, seq, 'demo' AS source, concat('NATION_', c_nationkey) AS country_iso3, concat('REGION_', c_nationkey % 5) AS region,
   CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(1990 + c_custkey % 15 AS INT) END AS year,
   CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST((c_custkey * 7) % 125 AS DOUBLE) END AS age,
   CASE c_custkey % 5 WHEN 0 THEN 'Male' WHEN 1 THEN ' female ' WHEN 2 THEN 'M' WHEN 3 THEN 'other' ELSE NULL END AS sex,
@@ -33,8 +33,7 @@ SELECT concat('p', c_custkey) AS patient_id, seq, 'demo' AS source, n_name AS co
   CASE c_custkey % 6 WHEN 0 THEN 'low' WHEN 1 THEN ' High' WHEN 2 THEN 'moderate' WHEN 3 THEN '' WHEN 4 THEN 'Very High' ELSE 'low' END AS cvd_risk_level,
   CAST((c_custkey * 59) % 101 AS DOUBLE) / 100 AS cvd_risk_score
 FROM (SELECT c_custkey, c_nationkey, 0 AS seq FROM customer
-      UNION ALL SELECT c_custkey, c_nationkey, 1 AS seq FROM customer WHERE c_custkey % 50 = 1) c
-JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+      UNION ALL SELECT c_custkey, c_nationkey, 1 AS seq FROM customer) c
 """
 
 # One indicator row per order. Indicators 0 and 5 repeat each other under one code,
@@ -42,7 +41,7 @@ JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionke
 # has no row for both sexes and all ages.
 POPULATION = """
 SELECT CASE k WHEN 1 THEN 'worldbank' WHEN 2 THEN 'ihme_gbd' WHEN 3 THEN 'worldbank' WHEN 4 THEN 'cdc_cdi' ELSE 'who_gho' END AS source,
-  n_name AS country_iso3, n_name AS country_name, year,
+  concat('NATION_', nation) AS country_iso3, concat('NATION_', nation) AS country_name, year,
   CASE t WHEN 0 THEN 'Both' WHEN 1 THEN 'male' ELSE 'FMLE' END AS sex,
   CASE t WHEN 0 THEN 'All ages' WHEN 1 THEN '30-34 years' ELSE '45-49' END AS age_group,
   CASE k WHEN 1 THEN 'SP.URB.TOTL.IN.ZS' WHEN 3 THEN 'SH.STA.OWAD.ZS' WHEN 4 THEN 'UNKNOWN' ELSE 'NCD_HYP_PREVALENCE_A' END AS indicator_code,
@@ -52,22 +51,22 @@ SELECT CASE k WHEN 1 THEN 'worldbank' WHEN 2 THEN 'ihme_gbd' WHEN 3 THEN 'worldb
        WHEN k = 3 THEN CAST((o_orderkey * 13) % 95 AS DOUBLE) / 100
        ELSE CAST(20 + (o_orderkey * 13) % 40 AS DOUBLE) END AS value,
   '%' AS unit, o_orderkey AS row_order
-FROM (SELECT o_orderkey, o_orderkey % 6 AS k, o_custkey % 3 AS t, n_nationkey, n_name,
+FROM (SELECT o_orderkey, o_orderkey % 6 AS k, o_custkey % 3 AS t, o_custkey % 25 AS nation,
         CASE WHEN o_orderkey % 41 = 0 THEN 1989 ELSE CAST(year(o_orderdate) AS INT) END AS year
-      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) o
-WHERE NOT (n_nationkey = 3 AND t = 0)
+      FROM orders) o
+WHERE NOT (nation = 3 AND t = 0)
 """
 
 ENVIRONMENT = """
-SELECT event_id, concat('s', user_id % 50) AS location_id, n_name AS country_iso3,
+SELECT event_id, concat('s', user_id % 50) AS location_id, concat('NATION_', user_id % 25) AS country_iso3,
   CAST((user_id * 13) % 120 AS DOUBLE) - 60 AS latitude, CAST((user_id * 29) % 340 AS DOUBLE) - 170 AS longitude,
   CASE event_id % 4 WHEN 0 THEN 'pm25' WHEN 1 THEN 'pm10' WHEN 2 THEN 'no2' ELSE 'o3' END AS parameter,
   CASE WHEN event_id % 31 = 0 THEN NULL ELSE value END AS value, ts AS measured_at
-FROM events JOIN nation ON user_id % 25 = n_nationkey
+FROM events
 """
 
 BRANCH_PROBS = """
-SELECT concat('o', o_orderkey) AS patient_id, n_name AS country_iso3,
+SELECT concat('o', o_orderkey) AS patient_id, concat('NATION_', o_custkey % 25) AS country_iso3,
   CASE o_orderkey % 6 WHEN 0 THEN '30-44' WHEN 1 THEN '45-59' WHEN 2 THEN '60-74' WHEN 3 THEN '75+' WHEN 4 THEN 'nan' ELSE NULL END AS age_group_bin,
   CASE o_orderkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE NULL END AS sex,
   1.0 - CAST((o_orderkey * 37) % 1000 AS DOUBLE) / 1000 - CAST((1000 - (o_orderkey * 37) % 1000) * ((o_orderkey * 11) % 100) AS DOUBLE) / 100000 AS a_low,
@@ -77,7 +76,7 @@ SELECT concat('o', o_orderkey) AS patient_id, n_name AS country_iso3,
   CAST((1000 - (o_orderkey * 53) % 1000) * ((o_orderkey * 17) % 100) AS DOUBLE) / 100000 AS b_mod,
   CAST((o_orderkey * 53) % 1000 AS DOUBLE) / 1000 AS b_high,
   CASE WHEN o_orderkey % 10 = 9 THEN NULL ELSE CAST(o_orderkey % 3 AS INT) END AS true_label, o_orderdate AS scored_at
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+FROM orders
 """
 
 # Long-form feature values in two samples; 'error' is shifted in the second.

@@ -80,13 +80,13 @@ def score_without_models(spark, sf):
 
 
 # Diagnoses are known for some patients, for a few of them twice.
-_TRUTH = """SELECT concat('o', o_orderkey) AS patient_id, CAST(o_custkey % 3 AS INT) AS true_label FROM orders WHERE o_orderkey % 4 <> 0
-  UNION ALL SELECT concat('o', o_orderkey), CAST((o_custkey + 1) % 3 AS INT) FROM orders WHERE o_orderkey % 9 = 1"""
+_TRUTH = """SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE concat('o', o_orderkey) END AS patient_id, CAST(o_custkey % 3 AS INT) AS true_label FROM orders
+  UNION ALL SELECT CASE WHEN o_orderkey % 9 = 1 THEN concat('o', o_orderkey) END, CAST((o_custkey + 1) % 3 AS INT) FROM orders"""
 
 
 @register("truth_join", q.with_ctes({**q.scored(fx.BRANCH_PROBS), "truth": _TRUTH}, """
   SELECT s.patient_id, s.predicted_class, t.true_label FROM scored s LEFT JOIN
-  (SELECT patient_id, min(true_label) AS true_label FROM truth GROUP BY patient_id) t ON s.patient_id = t.patient_id"""))
+  (SELECT patient_id, min(true_label) AS true_label FROM truth WHERE patient_id IS NOT NULL GROUP BY patient_id) t ON s.patient_id = t.patient_id"""))
 def truth_join(spark, sf):
     out = monitor.with_truth(sc.scored(spark, sf), fx.load(spark, sf, _TRUTH), ["true_label"])
     return out.select("patient_id", "predicted_class", "true_label")

@@ -65,10 +65,10 @@ def score_patient_filter(spark, sf):
         "scored_at", stamp("scored_at"))
 
 
-# Two branch tables over overlapping customers, one with a repeated key.
-_SIDE_A = """SELECT concat('p', c_custkey) AS patient_id, c_custkey AS seq, c_acctbal AS a_high FROM customer WHERE c_custkey % 3 <> 0
+# Two branch tables with repeated keys; users and customers overlap in part.
+_SIDE_A = """SELECT concat('p', c_custkey) AS patient_id, c_custkey AS seq, c_acctbal AS a_high FROM customer
   UNION ALL SELECT concat('p', o_custkey), 1000000 + o_orderkey, o_totalprice FROM orders"""
-_SIDE_B = """SELECT concat('p', o_custkey) AS patient_id, o_orderkey AS seq, o_totalprice AS b_high FROM orders WHERE o_custkey % 2 = 0"""
+_SIDE_B = """SELECT concat('p', user_id) AS patient_id, event_id AS seq, value AS b_high FROM events"""
 
 
 @register("align_branches", f"""SELECT a.patient_id, a.seq, a.a_high, b.b_high FROM
@@ -465,9 +465,9 @@ _KEYS = "country_iso3, age_group_bin, sex"
 
 
 @register("view_heatmap", q.with_ctes(_HEAT, f"""SELECT h.*, {', '.join(f'round(m.{i}, 8) AS {i}' for i in C.HEATMAP_INDICATORS)}
-  FROM (SELECT {_KEYS}, count(patient_id) AS n_patients, {q.rnd('avg(ensemble_risk_score)', 4)} AS mean_risk_score, {_PCT},
+  FROM (SELECT {_KEYS}, count(patient_id) AS n_patients, {q.rnd('CAST(sum(CAST(round(ensemble_risk_score * 10000) AS BIGINT)) AS DOUBLE) / count(ensemble_risk_score) / 10000', 4)} AS mean_risk_score, {_PCT},
     {q.rnd('avg(CASE WHEN warning_level >= 3 THEN 1e0 ELSE 0e0 END)', 4)} AS pct_high_risk,
-    {q.rnd('avg(branch_a_score)', 4)} AS mean_branch_a_score, {q.rnd('avg(branch_b_score)', 4)} AS mean_branch_b_score,
+    {q.rnd('CAST(sum(CAST(round(branch_a_score * 10000) AS BIGINT)) AS DOUBLE) / count(branch_a_score) / 10000', 4)} AS mean_branch_a_score, {q.rnd('CAST(sum(CAST(round(branch_b_score * 10000) AS BIGINT)) AS DOUBLE) / count(branch_b_score) / 10000', 4)} AS mean_branch_b_score,
     (array_agg(signal_type ORDER BY sn DESC, signal_type))[1] AS dominant_signal
     FROM (SELECT *, count(*) OVER (PARTITION BY {_KEYS}, signal_type) AS sn FROM scored) s GROUP BY {_KEYS}) h
   LEFT JOIN means m ON h.country_iso3 = m.country_iso3"""))

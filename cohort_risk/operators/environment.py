@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_risk.operators.dedup import top_per_group
+from cohort_risk.session import lookup_side
 
 EARTH_RADIUS_M = 6_371_000.0
 MAX_PER_COUNTRY = 1000
@@ -81,7 +82,7 @@ def within_radius(points: DataFrame, readings: DataFrame, id_col: str,
     recent = [F.desc_nulls_last("measured_at"), F.col(id_col)]
     located = (readings.withColumnsRenamed({"latitude": "site_lat", "longitude": "site_lon"})
                .dropna(subset=SITE))
-    newest = top_per_group(located, SITE, recent, k, rank="__n")
+    newest = lookup_side(top_per_group(located, SITE, recent, k, rank="__n"), "newest")
     sites = (newest.filter(F.col("__n") == 1)
              .select(*SITE, "measured_at", id_col)
              .withColumn("band", grid.band(F.col("site_lat")))

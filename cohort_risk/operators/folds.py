@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort_risk import config as C
 from cohort_risk.session import lookup_side
 
+PREFIX = 4  # hex digits of the hash, 65,536 parts per class
+
 
 def _positions(df: DataFrame, label: str, ids: Sequence[str], seed: int,
                prefix: int) -> DataFrame:
@@ -33,19 +35,33 @@ def _positions(df: DataFrame, label: str, ids: Sequence[str], seed: int,
             .withColumn("__pos", F.col("__offset") + F.row_number().over(inside) - 1))
 
 
+def _fold(k: int) -> Column:
+    return (F.col("__pos") % k).cast("int")
+
+
+def _held_out(fraction: float) -> Column:
+    return F.col("__pos") < F.ceil(F.col("__total") * F.lit(fraction))
+
+
 def stratified_folds(df: DataFrame, label: str, ids: Sequence[str], k: int = C.CV_FOLDS,
-                     seed: int = 42, prefix: int = 3, fold: str = "fold") -> DataFrame:
+                     seed: int = 42, prefix: int = PREFIX, fold: str = "fold") -> DataFrame:
     """Fold 0..k-1 per row; fold sizes differ by at most one row per class."""
     out = _positions(df, label, ids, seed, prefix)
-    return out.select(*df.columns, (F.col("__pos") % k).cast("int").alias(fold))
+    return out.select(*df.columns, _fold(k).alias(fold))
 
 
 def stratified_holdout(df: DataFrame, label: str, ids: Sequence[str], fraction: float = 0.2,
-                       seed: int = 42, prefix: int = 3, flag: str = "is_test") -> DataFrame:
+                       seed: int = 42, prefix: int = PREFIX, flag: str = "is_test") -> DataFrame:
     """Mark the first ``ceil(fraction * class size)`` rows of each class."""
     out = _positions(df, label, ids, seed, prefix)
-    return out.select(*df.columns,
-                      (F.col("__pos") < F.ceil(F.col("__total") * F.lit(fraction))).alias(flag))
+    return out.select(*df.columns, _held_out(fraction).alias(flag))
+
+
+def training_split(df: DataFrame, label: str, ids: Sequence[str], k: int = C.CV_FOLDS,
+                   fraction: float = 0.2, seed: int = 42, prefix: int = PREFIX) -> DataFrame:
+    """``fold`` and ``is_test`` in one shuffle."""
+    out = _positions(df, label, ids, seed, prefix)
+    return out.select(*df.columns, _fold(k).alias("fold"), _held_out(fraction).alias("is_test"))
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
 from cohort_risk.operators.ranks import exact_quantiles, value_counts, value_modes
+from cohort_risk.session import lookup_side
 
 
 def coerce(df: DataFrame, as_of_year: int) -> DataFrame:
@@ -109,7 +110,7 @@ def imputer_stats(df: DataFrame, approx: bool = False,
                 .select(parts[1].alias("feature"), parts[0].alias("stat"), "value"))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in medians + modes]).unpivot(
         [], medians + modes, "feature", "value")
-    counts = value_counts(long, ["feature"])
+    counts = lookup_side(value_counts(long, ["feature"]), "value_counts")
     # no filter by feature before this point: both branches then share one shuffle
     both = exact_quantiles(counts, ["feature"], {"median": 0.5}).join(
         value_modes(counts, ["feature"]), "feature")

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_OCTAVE = 256
+from cohort_risk.session import lookup_side
+
+BUCKETS_PER_OCTAVE = 1024
 
 
 def order_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
@@ -77,7 +79,9 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: dict[str, f
         f"filter(array_distinct({ranks}), r -> r >= __start AND r < __end)"))
         .filter("size(__ranks) > 0"))
     inside = Window.partitionBy(*groups, "__bucket").orderBy(value)
-    ranked = (cut.join(wanted, [*groups, "__bucket"])
+    # at most two buckets per group and quantile: the other values are dropped before
+    # anything is shuffled again
+    ranked = (cut.join(lookup_side(wanted, "ranks"), [*groups, "__bucket"])
               .withColumn("__hi", F.col("__start") + F.sum(count).over(inside))
               .withColumn("__lo", F.col("__hi") - F.col(count)))
     hits = ranked.select(*groups, value, "__total", F.explode(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohort_risk import config as C
 from cohort_risk import schemas
 from cohort_risk.operators.dedup import keep_first
+from cohort_risk.session import lookup_side
 
 CLASSES = ["low", "mod", "high"]
 
@@ -94,7 +95,7 @@ def align_branches(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
 def common_ids(a: DataFrame, b: DataFrame, key: str = "patient_id") -> DataFrame:
     """Rows of ``a`` whose id also occurs in ``b``."""
-    return a.join(b.select(key).distinct(), key, "left_semi")
+    return a.join(lookup_side(b.select(key).distinct(), "ids"), key, "left_semi")
 
 
 def level_distribution(scored: DataFrame) -> DataFrame:

@@ -40,13 +40,17 @@ def population_heatmap(scored: DataFrame, pop_long: DataFrame | None = None,
         # a row without a level counts as "not in this level"
         return F.avg(F.coalesce(cond, F.lit(False)).cast("double"))
 
+    def mean(score: str) -> Column:
+        # scores carry four digits; summed as integers the mean does not depend on row order
+        return F.sum(F.round(F.col(score) * 10000).cast("bigint")) / F.count(score) / 10000
+
     out = scored.groupBy("country_iso3", "age_group_bin", "sex").agg(
         F.count("patient_id").alias("n_patients"),
-        F.round(F.avg("ensemble_risk_score"), 4).alias("mean_risk_score"),
+        F.round(mean("ensemble_risk_score"), 4).alias("mean_risk_score"),
         *[share(level == i).alias(f"pct_warning_level_{i}") for i in range(1, 5)],
         F.round(share(level >= 3), 4).alias("pct_high_risk"),
-        F.round(F.avg("branch_a_score"), 4).alias("mean_branch_a_score"),
-        F.round(F.avg("branch_b_score"), 4).alias("mean_branch_b_score"),
+        F.round(mean("branch_a_score"), 4).alias("mean_branch_a_score"),
+        F.round(mean("branch_b_score"), 4).alias("mean_branch_b_score"),
         F.mode("signal_type", True).alias("dominant_signal"))
     if updated_at is not None:
         out = out.withColumn("updated_at", updated_at)

@@ -180,9 +180,7 @@ def training_rows(df: DataFrame, features: Sequence[str], ids: Sequence[str],
     present = [c for c in features if c in df.columns]
     rows = df.select(*ids, label, *[c for c in present if c not in ids]).dropna(
         subset=[label, *present])
-    rows = folds.stratified_holdout(rows, label, ids)
-    rows = folds.stratified_folds(rows, label, ids, k=folds_k)
-    rows = stored(rows, "training_rows")
+    rows = stored(folds.training_split(rows, label, ids, folds_k), "training_rows")
     return rows.withColumn(WEIGHT, weight_column(rows, label))
 
 

@@ -66,8 +66,10 @@ def lookup_side(df: DataFrame, purpose: str = "lookup") -> DataFrame:
     Below the broadcast threshold the frame is returned as it is and Catalyst
     broadcasts it. Above, the estimate is often that of the raw input rather than
     of the aggregate, so the lookup is stored and Catalyst decides on the size of
-    the files: broadcast if small, otherwise a sort-merge join whose hot keys are
-    split by the adaptive skew handling.
+    the files: broadcast if small, otherwise a sort-merge join. Reading the stored
+    files puts a shuffle directly under that join, which adaptive execution needs
+    to split hot keys of the other side; a window or aggregate in between would
+    prevent it.
     """
     if estimated_bytes(df) <= broadcast_limit(df.sparkSession):
         return df
