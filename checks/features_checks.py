@@ -522,7 +522,7 @@ def feature_tables(spark, sf):
 
 
 @register("env_latest_by_country", q.with_ctes(
-    {"env": fx.ENVIRONMENT, "env_clean": q.ENV_CLEAN}, f"""SELECT {_ENV_OUT}, recency FROM (
+    {"env": fx.ENVIRONMENT, "env_clean": q.ENV_CLEAN}, f"""SELECT {_ENV_OUT}, CAST(recency AS INT) AS recency FROM (
   SELECT *, row_number() OVER (PARTITION BY country_iso3 ORDER BY measured_at DESC NULLS LAST, event_id) AS recency
   FROM env_clean) r WHERE recency <= 100"""))
 def env_latest_by_country(spark, sf):
@@ -536,7 +536,7 @@ _POINTS = """SELECT c_custkey AS point_id, CAST((c_custkey * 13) % 120 AS DOUBLE
 
 @register("env_within_radius", q.with_ctes(
     {"env": fx.ENVIRONMENT, "env_clean": q.ENV_CLEAN, "points": _POINTS}, """
-  SELECT point_id, event_id, strftime(measured_at, '%Y-%m-%d %H:%M:%S') AS measured_at, parameter, value, round(distance_m, 3) AS distance_m, recency FROM (
+  SELECT point_id, event_id, strftime(measured_at, '%Y-%m-%d %H:%M:%S') AS measured_at, parameter, value, round(distance_m, 3) AS distance_m, CAST(recency AS INT) AS recency FROM (
     SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY measured_at DESC NULLS LAST, event_id) AS recency FROM (
       SELECT p.point_id, e.event_id, e.measured_at, e.parameter, e.value, 2 * 6371000.0 * asin(least(1.0, sqrt(
         pow(sin(radians(e.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(e.latitude))

@@ -11,9 +11,10 @@ from checks import sqltext as q
 from checks import source_checks as src
 from checks.features_checks import clean_individuals, fitted
 from cohort_risk import config as C
-from cohort_risk.operators import drift, monitor
+from cohort_risk.operators import drift, monitor, validate
 from cohort_risk.plans import monitoring, score, training
 from cohort_risk.session import shared_dir, stored
+from cohort_risk.sinks import tables
 from cohort_risk.streaming import readings
 
 QUERIES = {}
@@ -79,6 +80,71 @@ def score_without_models(spark, sf):
     return out.withColumn("scored_at", F.date_format("scored_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+_SCALED = ["systolic_bp", "bmi", "age"]
+
+
+@register("standardize", q.with_ctes(q.validated(fx.INDIVIDUAL), "SELECT patient_id, seq, " + ", ".join(
+    f"round((x_{c} - avg(x_{c}) OVER ()) / stddev_samp(x_{c}) OVER (), 7) AS z_{c}" for c in _SCALED)
+    + " FROM (SELECT patient_id, seq, " + ", ".join(f"coalesce({c}, 0) AS x_{c}" for c in _SCALED)
+    + " FROM clean) c"))
+def standardize(spark, sf):
+    out = training.standardised(clean_individuals(spark, sf), _SCALED)
+    return out.select("patient_id", "seq", *[F.round(f"z_{c}", 7).alias(f"z_{c}") for c in _SCALED])
+
+
+@register("cross_validation")
+def cross_validation(spark, sf):
+    """Macro F1 of the forest of branch B per fold."""
+    rows = training.training_rows(enriched(spark, sf), C.BRANCH_B_FEATURES, ["patient_id", "seq"])
+    scores = training.cross_validate(
+        rows, lambda part: training.fit_forest(part, C.BRANCH_B_FEATURES, FOREST))
+    return spark.createDataFrame(list(enumerate(scores)), "fold int, f1_macro double")
+
+
+# --- tables ------------------------------------------------------------------------
+
+_KEPT = ["patient_id", "ensemble_risk_score", "warning_level"]
+
+
+@register("snapshot_round_trip", q.with_ctes(
+    q.scored(fx.BRANCH_PROBS), f"SELECT {', '.join(_KEPT)} FROM scored WHERE warning_level >= 3"))
+def snapshot_round_trip(spark, sf):
+    """A full run, a later full run over the high-risk rows, and a partial one on top."""
+    path = shared_dir(spark, "scores")
+    everyone = sc.scored(spark, sf)
+    tables.write_scores(everyone, path, "20240101_000000")
+    tables.write_scores(everyone.filter("warning_level >= 3"), path, "20240102_000000")
+    tables.write_scores(everyone.filter("warning_level = 1"), path, "20240103_000000", partial=True)
+    return tables.read_scores(spark, path).select(*_KEPT)
+
+
+@register("landed_round_trip", q.with_ctes(
+    {"pop": fx.POPULATION, "env": fx.ENVIRONMENT},
+    """SELECT 'population_orders' AS dataset, source, value, CAST(NULL AS VARCHAR) AS parameter FROM pop
+  UNION ALL SELECT 'population_events', NULL, value, parameter FROM env"""))
+def landed_round_trip(spark, sf):
+    """Two datasets of one family with different columns, and one of another family."""
+    root = shared_dir(spark, "landed")
+    pop = fx.load(spark, sf, fx.POPULATION).select("source", "value")
+    env = fx.load(spark, sf, fx.ENVIRONMENT).select("parameter", "value")
+    tables.write_landed({"population_orders": pop, "population_events": env,
+                         "individual_training": pop}, root, "20240101_000000")
+    return tables.read_landed(spark, root, "population_").select(
+        "dataset", "source", "value", "parameter")
+
+
+@register("quarantine_round_trip", q.with_ctes(
+    q.validated(fx.INDIVIDUAL), "SELECT patient_id, seq, _reject, 'individual' AS _source, "
+                                "CAST(len(string_split(_reject, '; ')) AS INT) AS n_reasons "
+                                "FROM tagged WHERE _reject <> ''"))
+def quarantine_round_trip(spark, sf):
+    path = shared_dir(spark, "validated")
+    tagged = validate.tag_individual(fx.load(spark, sf, fx.INDIVIDUAL), ["seq"])
+    tables.write_validated(tagged, path, "individual", "20240101_000000")
+    return tables.read_quarantine(spark, path).select(
+        "patient_id", "seq", "_reject", "_source", F.size("_reasons").alias("n_reasons"))
+
+
 # Diagnoses are known for some patients, for a few of them twice.
 _TRUTH = """SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE concat('o', o_orderkey) END AS patient_id, CAST(o_custkey % 3 AS INT) AS true_label FROM orders
   UNION ALL SELECT CASE WHEN o_orderkey % 9 = 1 THEN concat('o', o_orderkey) END, CAST((o_custkey + 1) % 3 AS INT) FROM orders"""

@@ -484,14 +484,14 @@ def _group_case() -> str:
 
 
 @register("view_feature_importance", q.with_ctes({"imp": fx.IMPORTANCE}, f"""SELECT branch,
-  {q.case_map('branch', C.BRANCH_LABELS)} AS branch_label, feature, importance, rank() OVER (PARTITION BY branch ORDER BY importance DESC) AS rank,
+  {q.case_map('branch', C.BRANCH_LABELS)} AS branch_label, feature, importance, CAST(rank() OVER (PARTITION BY branch ORDER BY importance DESC) AS INT) AS rank,
   {q.rnd('importance / sum(importance) OVER (PARTITION BY branch) * 100', 2)} AS pct_of_total, {_group_case()} AS clinical_group
   FROM (SELECT branch, feature, {q.rnd('importance', 5)} AS importance FROM imp) i"""))
 def view_feature_importance(spark, sf):
     return views.feature_importance(fx.load(spark, sf, fx.IMPORTANCE))
 
 
-@register("top_importances", q.with_ctes({"imp": fx.IMPORTANCE}, """SELECT branch, feature, importance, position FROM (
+@register("top_importances", q.with_ctes({"imp": fx.IMPORTANCE}, """SELECT branch, feature, importance, CAST(position AS INT) AS position FROM (
   SELECT *, row_number() OVER (PARTITION BY branch ORDER BY importance DESC, feature) AS position FROM imp) r WHERE position <= 5"""))
 def top_importances(spark, sf):
     return views.top_importances(fx.load(spark, sf, fx.IMPORTANCE))

@@ -44,6 +44,14 @@ def _scaler(names: Sequence[str]) -> Pipeline:
         StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True, withStd=True)])
 
 
+def standardised(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The scaled inputs of the models as columns ``z_<name>``."""
+    out = _scaler(names).fit(_features(df, names)).transform(_features(df, names))
+    z = vector_to_array("__scaled")
+    return out.withColumns({f"z_{c}": z[i] for i, c in enumerate(names)}).drop(
+        "__raw", "__scaled", *[f"__x_{c}" for c in names])
+
+
 def weight_column(df: DataFrame, label: str = C.TARGET) -> Column:
     """Balanced class weights as literals; there is one per class."""
     rows = folds.class_weights(df, label).collect()
