@@ -457,7 +457,8 @@ _FULL = _full_sql()
 
 
 def fitted(spark, sf) -> tuple[features.FeatureModel, DataFrame]:
-    ind = clean_individuals(spark, sf)
+    # validated rows are a stored table between the validation and the feature run
+    ind = stored(clean_individuals(spark, sf), "clean")
     wide = population.transform_population(clean_population(spark, sf), ["row_order"])[1]
     model = features.fit(ind, wide, clean_environment(spark, sf), fx.AS_OF_YEAR)
     return model, ind
