@@ -24,18 +24,24 @@ def build_session(app_name: str = "cohort_risk", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder every executor can reach.
+def set_root(spark: SparkSession) -> None:
+    """Name a folder for intermediate tables in a local session that has none.
 
-    It lies below ``spark.checkpoint.dir``. Only where the session names no such
-    folder (local mode, tests) is a temporary one made, and set for later calls.
+    For tests, benches and entry points on one machine; the engine never calls it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="cohort_risk_")
-        spark.sparkContext.setCheckpointDir(root)
+    if _root(spark) is None and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohort_risk_"))
+
+
+def _root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which every executor can reach."""
+    root = _root(spark)
+    if root is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

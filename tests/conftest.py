@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from cohort_risk.session import build_session  # noqa: E402
+from cohort_risk.session import build_session, set_root  # noqa: E402
 
 
 def make_session():
@@ -13,6 +13,7 @@ def make_session():
 
     active = SparkSession.getActiveSession()
     if active is not None:
+        set_root(active)
         return active
     spark = build_session(
         "cohort_risk_tests", **{
@@ -25,6 +26,7 @@ def make_session():
             "spark.ui.showConsoleProgress": "false",
         })
     spark.sparkContext.setLogLevel("ERROR")
+    set_root(spark)
     return spark
 
 
