@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, token_counts
+from cohort_risk.llm import bpe, dedup, langid, near_dedup, token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -27,6 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _remainder(of: str, by: int) -> F.Column:
+    return F.crc32(F.col(of).cast("string")) % by
+
+
+@register
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir).withColumn(
+        "held_out", F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False)))
+    samples = langid.fit(docs.filter(~F.col("held_out")))
+    return langid.predict(docs, samples, keep=("doc_id", "held_out"))
+
+
 @register
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.mark(table(spark, sf_dir))
@@ -49,3 +61,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+@register
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir))
