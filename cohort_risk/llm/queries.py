@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, langid, near_dedup, token_counts
+from cohort_risk.llm import bpe, dedup, langid, near_dedup, token_counts, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -52,6 +52,16 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (
+        table(spark, sf_dir, name).withColumn("held_out", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)))
+        for name in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter(~F.col("held_out")).drop("held_out"))
+    scored = toxicity.score(docs, model, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @register
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
