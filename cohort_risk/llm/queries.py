@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, langid, near_dedup, token_counts, toxicity
+from cohort_risk.llm import bpe, dedup, langid, near_dedup, quality, token_counts, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -62,6 +62,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@register
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir).select("doc_id", "text", "lang")
+    return quality.assess(docs, keep=("doc_id",)).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "char_distance", "word_distance")
+
+
 @register
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
