@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, langid, near_dedup, quality, token_counts, toxicity
+from cohort_risk.llm import bpe, dedup, langid, near_dedup, quality, secrets, token_counts, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -75,6 +75,17 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+@register
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir)
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{name}")
+              for k, name in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
