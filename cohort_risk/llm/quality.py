@@ -172,3 +172,55 @@ def assess(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """``row`` with counts, distances and verdict for every row of ``df``."""
     counted = counts(df, text_col, lang_col, keep)
     return judge(counted, references(counted))
+
+
+def oracle() -> str:
+    """The same in SQL, text by text."""
+    quote = "'"
+    shape = [f"len(regexp_extract_all(t, '{c.replace(quote, 2 * quote)}'))" for c in CLASSES]
+    listed = " ".join(f"WHEN '{k}' THEN {words}" for k, words in sorted(COMMON.items()))
+    symbols = SYMBOLS
+
+    def js(counts: str, totals: str) -> str:
+        share = f"list_transform({totals}, lambda y: y / list_sum({totals}))"
+        terms = " + ".join(
+            f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / (z[1] + z[2])) ELSE 0 END" for a in ("z[1]", "z[2]"))
+        return (f"CASE WHEN list_sum({counts}) > 0 AND list_sum({totals}) > 0 THEN sqrt(greatest(list_sum(list_transform("
+                f"list_zip(list_transform({counts}, lambda x: x / list_sum({counts})), {share}), "
+                f"lambda z: {terms})) / 2, 0)) END")
+
+    def total(column: str, width: int) -> str:
+        return "[" + ", ".join(f"sum({column}[{i + 1}])::DOUBLE" for i in range(width)) + "]"
+
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+    CASE WHEN lang IN ({", ".join(f"'{k}'" for k in sorted(COMMON))}) THEN lang ELSE '{ANY}' END AS key FROM documents),
+s AS (SELECT *, list_filter(string_split_regex(t, '{BLANK}+'), lambda x: x <> '') AS w,
+    list_filter(string_split_regex(lower(t), '[^\p{{L}}]+'), lambda x: x <> '') AS lw,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
+    CASE key {listed} END AS listed FROM d),
+tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM s)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1) GROUP BY doc_id),
+c AS (SELECT s.doc_id, key, len(w)::BIGINT AS n_words, list_sum([0] || list_transform(w, lambda x: length(x)))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '{symbols}'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    length(t) AS length, [{", ".join(shape)}] AS k,
+    list_transform(listed, lambda x: len(list_filter(lw, lambda y: y = x)))
+        || [len(lw) - len(list_filter(lw, lambda y: list_contains(listed, y)))] AS common
+    FROM s LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEATED} * n_words AS base_failed,
+    [k[1], k[2] - k[1], k[3], k[4], n_symbols, length - word_chars,
+     length - k[2] - k[3] - k[4] - n_symbols - (length - word_chars)]::DOUBLE[] AS chars FROM c),
+r AS (SELECT key, {total("chars", len(CLASSES) + 3)} AS rc, {total("common", len(COMMON["en"]) + 1)} AS rw
+    FROM b WHERE NOT base_failed GROUP BY key),
+a AS (SELECT {total("chars", len(CLASSES) + 3)} AS rc FROM b WHERE NOT base_failed),
+j AS (SELECT b.*, CASE WHEN key = '{ANY}' THEN a.rc ELSE coalesce(r.rc, a.rc) END AS rc,
+    CASE WHEN key <> '{ANY}' THEN r.rw END AS rw FROM b LEFT JOIN r USING (key) CROSS JOIN a),
+v AS (SELECT *, {js("chars", "rc")} AS char_distance, {js("common::DOUBLE[]", "rw")} AS word_distance FROM j)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce(char_distance > {CHAR_DISTANCE} AND length >= {LEAST_CHARS}
+        OR coalesce(word_distance, 0) > {WORD_DISTANCE} AND n_words >= {LEAST_COMMON}, false) AS kept,
+    round(char_distance, 6) AS char_distance, round(word_distance, 6) AS word_distance FROM v"""

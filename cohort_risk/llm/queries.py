@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, langid, near_dedup, quality, secrets, token_counts, toxicity
+from cohort_risk.llm import bpe, dedup, langid, licenses, mixing, near_dedup, quality, secrets, token_counts, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -67,7 +67,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir).select("doc_id", "text", "lang")
     return quality.assess(docs, keep=("doc_id",)).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "char_distance", "word_distance")
+        "base_failed", "kept", *(F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")))
+
+
+ORACLES["op4_quality_rules"] = quality.oracle()
 
 
 @register
@@ -92,6 +95,28 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+@register
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("found")
+    return licenses.scan(table(spark, sf_dir)).select(
+        "doc_id", F.size(found).cast("bigint").alias("n_licenses"),
+        F.array_join(F.array_distinct(F.transform(found, lambda h: h["license"])), ",").alias("licenses"),
+        F.array_join(F.transform(found, lambda h: F.concat_ws(
+            ":", h["license"], h["start"].cast("string"), h["end"].cast("string"), h["matched"].cast("string"))),
+            ",").alias("spans"),
+        F.array_max(F.transform(found, lambda h: h["coverage"])).alias("coverage"))
+
+
+@register
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighed = mixing.weigh(table(spark, sf_dir).select("doc_id", "text", "source", "lang"))
+    return weighed.select("row.doc_id", *mixing.DIMENSIONS, "n_tokens", F.round("weight", 6).alias("weight"),
+                          F.round("p", 6).alias("p"), "sampled")
+
+
+ORACLES["op9_mixing"] = mixing.oracle()
+
+
 @register
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir))

@@ -10,6 +10,9 @@ import numpy as np
 #: White space in UTF-8 bytes: space and the control characters from tab to carriage return.
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
+#: For folded words: ASCII letters in lower case, other ASCII than letters and digits blank.
+_FOLD = np.array([c if c > 127 or chr(c).isalnum() else 32 for c in range(256)], np.uint8)
+_FOLD[65:91] += 32
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 
 
@@ -38,12 +41,17 @@ class Words(NamedTuple):
     ends: np.ndarray
 
 
-def words(texts: list[str]) -> Words:
-    """Words between ASCII white space. Equal words have equal hashes in every task."""
+def words(texts: list[str], fold: bool = False) -> Words:
+    """Words between ASCII white space. Equal words have equal hashes in every task.
+
+    With ``fold``, words are runs of letters and digits, and their ASCII case is ignored.
+    """
     parts = [text.encode("utf-8", "replace") for text in texts]
     offsets = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(part) + 1 for part in parts], out=offsets[1:])
     data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    if fold:
+        data = _FOLD[data]
     blank = _BLANK[data]
     edges = np.flatnonzero(np.diff(blank, prepend=True))
     starts, ends = edges[::2], edges[1::2]
