@@ -70,7 +70,7 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Automaton:
-    """Suffix automaton of a text as one table: the next state, and whether a phrase ends."""
+    """Suffix automaton of a text as one table: the next state, and whether a phrase begins."""
 
     def __init__(self, text: str):
         codes = letters([text])[0]
@@ -112,11 +112,12 @@ class Automaton:
         for state, below in enumerate(after):
             if below:
                 table[state, list(below)] = 2 * np.fromiter(below.values(), np.int32)
+        table[0] |= 1  # what leaves the start begins a phrase
         self.table = table.reshape(-1)
 
     def phrases(self, grid: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each column; row t of the grid has code point t of the first active[t]."""
-        count = np.ones(grid.shape[1], np.int32)
+        count = np.zeros(grid.shape[1], np.int32)
         state = np.zeros(grid.shape[1], np.int32)
         kinds = self.kind[grid]
         for t, n in enumerate(active):

@@ -22,7 +22,7 @@ from cohort_risk.llm.words import Words, shingles, words
 
 #: Words of a fingerprint, and triples of which one is taken.
 GRAM, WINDOW = 3, 3
-#: Words that the alignment may drift from its diagonals.
+#: Words that the alignment may drift from its diagonals, a quarter of the template at most.
 BAND = 8
 #: Share of a template's words that must match.
 LEAST_COVERAGE = 0.75
@@ -108,12 +108,14 @@ def find(texts: list[str], index: Index, least: float = LEAST_COVERAGE) -> list[
     for (t, k), diagonals in sorted(index.candidates(found).items()):
         mine = slice(found.bounds[t], found.bounds[t + 1])
         diagonals = sorted(set(diagonals))
-        cuts = [i for i in range(1, len(diagonals)) if diagonals[i] - diagonals[i - 1] > BAND]
+        size = len(index.words[k])
+        band = min(BAND, size // 4)
+        cuts = [i for i in range(1, len(diagonals)) if diagonals[i] - diagonals[i - 1] > band]
         for a, b in zip([0, *cuts], [*cuts, len(diagonals)]):
-            size = len(index.words[k])
-            begin = max(0, diagonals[a] - BAND)
-            window = found.hashes[mine][begin:diagonals[b - 1] + size + BAND]
-            n, first, last = align(index.words[k], window, diagonals[a] - BAND - begin, diagonals[b - 1] + BAND - begin)
+            low, high = diagonals[a] - band, diagonals[b - 1] + band
+            begin = max(0, low)
+            window = found.hashes[mine][begin:high + size]
+            n, first, last = align(index.words[k], window, low - begin, high - begin)
             if n >= least * size:
                 raw = texts[t].encode("utf-8", "replace")
                 start, end = (len(raw[:at].decode()) for at in (

@@ -8,14 +8,19 @@ rank that leaves about ``k ln k + 2k`` of them; each dart belongs to one of ``k`
 and the earliest per coordinate is the signature. So two texts agree in a coordinate with the
 probability of their similarity, at a cost of one step per shingle and dart.
 
-Texts of equal signature bands meet in buckets. Nothing lists all pairs of a bucket: its
-members are compared with a leader, and only buckets whose members then belong to several
-classes are compared further, with more leaders each round, until every pair that could still
-join two classes has been compared. Each comparison is of the exact shingles.
+Texts of equal signature bands meet in buckets. Nothing lists all pairs of a bucket. First,
+shingles that a single one of these texts has can't be shared, which bounds the similarity to
+any other: texts that can't reach the threshold leave the bucket. The rest are compared with a
+leader, the text with the fewest shingles of its own; how many shingles two texts have in each
+of some hash groups bounds what they share, and few pairs pass that by accident. Only buckets whose members then belong to
+several classes are compared further, with more leaders each round, until every pair that could
+still join two classes has been compared. Each comparison is of the exact shingles.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +35,8 @@ from cohort_risk.session import stored
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at 0.8 shares no band with a probability of (1 - 0.8 ** 6) ** 40, 5 in a million.
 BANDS, ROWS = 40, 6
+#: Hash groups of a text's profile.
+GROUPS = 64
 #: Characters that are hashed at a time.
 SLICE = 1_500_000
 
@@ -84,7 +91,7 @@ def signatures(keys: np.ndarray, bounds: np.ndarray, k: int = BANDS * ROWS) -> n
 
 def band_hashes(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """One bucket per text and band."""
-    rows = sketch.reshape(len(sketch), bands, -1)
+    rows = sketch.reshape(len(sketch), bands, sketch.shape[1] // bands)
     value = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), rows.shape[:2])
     for r in range(rows.shape[2]):
         value = mix(value * np.uint64(_GOLD) + rows[:, :, r])
@@ -121,6 +128,40 @@ def _sketches(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
         run, f"id {kind}, digest bigint, check bigint, n bigint, buckets array<bigint>")
 
 
+def _profiles(texts: DataFrame) -> DataFrame:
+    """Per id, the keys of its shingles and how many of them each hash group has."""
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(1).to_pylist(), SLICE):
+                ids, at = batch.column(0).slice(at, len(part)), at + len(part)
+                keys, bounds = elements(part)
+                text = np.repeat(np.arange(len(part)), np.diff(bounds))
+                group = text * GROUPS + (keys >> np.uint64(32)).astype(np.int64) % GROUPS
+                profile = np.bincount(group, minlength=len(part) * GROUPS).astype(np.int32)
+                ends = np.arange(len(part) + 1, dtype=np.int32) * GROUPS
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(profile))],
+                    ["id", "keys", "profile"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"id {kind}, keys array<bigint>, profile array<int>")
+
+
+def _own(profiles: DataFrame) -> DataFrame:
+    """Per id, how many of its shingles no other of these texts has."""
+    keys = profiles.select("id", F.explode("keys").alias("key"))
+    return (keys.groupBy("key").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"))
+            .filter("texts = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
+
+
+def _common_at_most(a: str, b: str) -> F.Column:
+    """Bound on the shingles that two texts share, from their profiles."""
+    return reduce(lambda x, y: x + y, (
+        F.least(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in range(GROUPS)))
+
+
 def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the bound."""
     joined = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -190,32 +231,40 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     members = rows.select("id", "digest", "check", "n").join(firsts, ["digest", "check"], "left") \
         .select("id", F.coalesce("first", "id").alias("first"))
     dealt = (rows.join(firsts.select(F.col("first").alias("id")), "id", "left_semi")
-             .select("id", F.explode("buckets").alias("bucket")))
-    shared = stored(dealt.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-                    .filter("leader < last").select("bucket", "leader"), "buckets")
+             .select("id", "n", F.explode("buckets").alias("bucket")))
+    shared = stored(dealt.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                    .filter("low < high").select("bucket"), "buckets")
     met = stored(dealt.join(shared, "bucket").distinct(), "met")
     texts = stored(named.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
                    .join(met.select("id").distinct(), "id", "left_semi"), "met-texts")
-    labels = met.select("id", F.col("id").alias("class")).distinct()
-    pairs = met.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    left = met.filter("id <> leader").select("bucket", "id")
-    leaders = 4
+    part = similarity / (1 + similarity)  # of both sizes together, that the common shingles reach
+    profiles = _profiles(texts)
+    known = (met.join(_own(profiles), "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+             .filter((F.col("n") - F.col("own")) >= similarity * F.col("n") - 1e-9))
+    least = known.groupBy("bucket").agg(F.min("n").alias("least"))
+    left = stored(known.join(least, "bucket").filter(
+        (F.col("n") - F.col("own")) >= part * (F.col("n") + F.greatest("least", similarity * F.col("n"))) - 1e-9)
+        .drop("least").join(profiles.select("id", "profile"), "id"), "comparable")
+    labels = left.select("id", F.col("id").alias("class")).distinct()
+    leaders = 1
     while True:
-        labels = components(_alike(pairs, texts, similarity), labels)
         placed = left.join(labels, "id")
-        several = stored(placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-                         .filter("low < high").select("bucket"), "open-buckets")
-        if several.isEmpty():
-            break
+        several = (placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+                   .filter("low < high").select("bucket"))
         placed = stored(placed.join(several, "bucket", "left_semi"), "open")
-        order = Window.partitionBy("bucket").orderBy("id")
-        chosen = stored(placed.withColumn("turn", F.row_number().over(order))
-                        .filter(F.col("turn") <= leaders), "leaders")
-        pairs = (placed.join(chosen.select("bucket", F.col("id").alias("a"), F.col("class").alias("of")), "bucket")
-                 .filter("class <> of and id <> a")
-                 .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        left = placed.join(chosen.select("bucket", "id"), ["bucket", "id"], "left_anti").select("bucket", "id")
-        leaders *= 4
+        if placed.isEmpty():
+            break
+        order = Window.partitionBy("bucket").orderBy("own", "id")
+        chosen = stored(placed.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders).select(
+            "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile"))), "leaders")
+        pairs = (placed.join(chosen, "bucket").filter(
+            (F.col("class") != F.col("class_a")) & (F.col("id") != F.col("id_a"))
+            & (_common_at_most("profile", "profile_a") >= part * (F.col("n") + F.col("n_a")) - 1e-9))
+            .select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
+        labels = components(_alike(pairs, texts, similarity), labels)
+        left = placed.drop("class").join(
+            chosen.select("bucket", F.col("id_a").alias("id")), ["bucket", "id"], "left_anti")
+        leaders *= 16
     placed = stored(members.distinct().join(labels.toDF("first", "class"), "first", "left")
                     .select("id", F.coalesce("class", "first").alias("class"))
                     .groupBy("id").agg(F.min("class").alias("class")), "members")

@@ -31,6 +31,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = "[A-Za-z0-9+/_=-]{8,}"
+#: Steps that a model expects of each character before it has seen any.
+PRIOR = 10
 #: Bits per step from which a run counts as random.
 THRESHOLD = 1.0
 #: Rows that labelled samples are taken from, about.
@@ -99,7 +101,8 @@ def labelled_samples(df: DataFrame, text_col: str = "text", id_col: str = "doc_i
                 F.regexp_replace(text, f"{ASSIGN}|{ACCESS}|{HEX}", " "), F.lit(IDENTIFIER), F.lit(0)).alias("runs")))
     strings = F.concat(
         F.transform("base", lambda s: F.struct(
-            F.regexp_extract(s["found"], r"[A-Za-z0-9+/_.=-]+\z", 0).alias("value"), F.lit(True).alias("random"))),
+            F.when(s["kind"] == 0, F.regexp_extract(s["found"], ASSIGN, 2)).otherwise(s["found"]).alias("value"),
+            F.lit(True).alias("random"))),
         F.transform("runs", lambda s: F.struct(s.alias("value"), F.lit(False).alias("random"))))
     return rows.select(F.inline(strings))
 
@@ -107,17 +110,21 @@ def labelled_samples(df: DataFrame, text_col: str = "text", id_col: str = "doc_i
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio in bits of each step between two characters.
 
-    Counts are smoothed by one step each, so that models without samples are even and their
-    ratio is 0. What is collected is one number per model and pair of characters.
+    A character that a model has seldom stepped from is followed by what it steps to at all.
+    Models without samples are even, and their ratio is 0. What is collected is one number per
+    model and pair of characters.
     """
     steps = samples.select("random", _letters(F.col("value")).alias("c")).filter(F.size("c") > 1).select(
         "random", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1),
                                        lambda a, b: a * _N + b)).alias("step"))
-    count = {True: [1] * _N ** 2, False: [1] * _N ** 2}
+    count = {True: [0] * _N ** 2, False: [0] * _N ** 2}
     for row in steps.groupBy("random", "step").count().collect():
         count[row["random"]][row["step"]] += row["count"]
-    rates = {label: [n / sum(c[i - i % _N:i - i % _N + _N]) for i, n in enumerate(c)]
-             for label, c in ((k, v) for k, v in count.items())}
+    rates = {}
+    for label, c in count.items():
+        to = [(1 + sum(c[b::_N])) / (_N + sum(c)) for b in range(_N)]
+        rates[label] = [(n + PRIOR * to[i % _N]) / (sum(c[i - i % _N:i - i % _N + _N]) + PRIOR)
+                        for i, n in enumerate(c)]
     return [math.log2(a / b) for a, b in zip(rates[True], rates[False])]
 
 

@@ -72,7 +72,7 @@ def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.diff(found.bounds)
     n = len(found.hashes)
     value = np.zeros(n, np.uint64)
-    for j in range(size):
+    for j in range(min(size, n)):
         turn = np.uint64((2 * j + 3) * _FACTOR & 0xFFFFFFFFFFFFFFFF)
         value[:n - j] += mix(found.hashes[j:] + turn) * (turn | np.uint64(1))
     made = np.where(count >= size, count - size + 1, np.minimum(count, 1))
