@@ -50,7 +50,7 @@ def lengths(path: str, texts: list[str]) -> list[int]:
 
 def frequent(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id",
              sample_rows: int = SAMPLE_ROWS, table_size: int = TABLE_SIZE) -> dict[str, int]:
-    """Lengths of frequent pre-tokens; at most ``table_size`` entries, none for an empty table."""
+    """Lengths of pre-tokens that tasks have met often; at most ``table_size`` entries."""
     rows = df.count()
     share = min(1.0, sample_rows / max(rows, 1))
     sample = df.filter(
@@ -62,14 +62,14 @@ def frequent(df: DataFrame, path: str, text_col: str = "text", id_col: str = "do
             for text in batch.column(0).to_pylist():
                 if text:
                     found.update(w for w in text.split(" ")[1:] if 0 < len(w) <= TABLE_CHARS)
-        top = found.most_common(table_size)
+        top = [(w, n) for w, n in found.most_common(table_size) if n > 1]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
             ["word", "n"])
 
     total: Counter = Counter()
     best = (sample.select(text_col).mapInArrow(count, "word string, n bigint")
-            .orderBy(F.desc("n"), "word").limit(4 * table_size))
+            .orderBy(F.desc("n"), "word").limit(table_size))
     for word, n in best.collect():
         total[word] += n
     words = [w for w, _ in total.most_common(table_size)]
