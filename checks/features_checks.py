@@ -350,12 +350,12 @@ _GAPS = ("CASE WHEN (year + row_order) % 3 = 0 THEN value END")
      "gaps": f"SELECT * REPLACE ({_GAPS} AS value) FROM pop_dedup"},
     """SELECT country_iso3, year, sex, age_group_bin, feature_name, round(CASE WHEN feature_name IS NOT NULL THEN
   last_value(value IGNORE NULLS) OVER (PARTITION BY country_iso3, sex, age_group_bin, feature_name
-  ORDER BY year NULLS LAST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END, 9) AS value FROM gaps"""))
+  ORDER BY year NULLS LAST ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) END, 9) AS value FROM gaps"""))
 def ffill_limit(spark, sf):
     df = population.rename_indicators(population.normalise_units(
         population.normalise_strata(clean_population(spark, sf))))
     gaps = population.dedup_by_priority(df, ["row_order"]).withColumn("value", F.expr(_GAPS))
-    return population.forward_fill(gaps, limit=2).select(
+    return population.forward_fill(gaps).select(
         "country_iso3", "year", "sex", "age_group_bin", "feature_name",
         F.round("value", 9).alias("value"))
 
@@ -404,6 +404,25 @@ def tiered_join(spark, sf):
                       *[F.round(f, 9).alias(f) for f in C.POPULATION_FEATURES], "tier")
 
 
+# the alphabetically first indicator has no data, so the next one with data decides
+_SPARSE = "wb_urban_pct"
+_S = {**_BANDED, **{k: v for k, v in _P.items() if k != "pop_wide"},
+      "all_wide": _P["pop_wide"],
+      "pop_wide": "SELECT * REPLACE (" + ", ".join(
+          f"CAST(NULL AS DOUBLE) AS {f}" for f in C.POPULATION_FEATURES if f != _SPARSE) + ") FROM all_wide",
+      **q.tiered("base", with_tier=True, lead=_SPARSE)}
+
+
+@register("tiered_join_sparse", q.with_ctes(
+    _S, f"SELECT patient_id, seq, {_WIDE}, tier FROM tiered"))
+def tiered_join_sparse(spark, sf):
+    """Only urban shares have landed."""
+    wide = _wide(spark, sf).withColumns(
+        {f: F.lit(None).cast("double") for f in C.POPULATION_FEATURES if f != _SPARSE})
+    out = enrich.tiered_join(_base(spark, sf), wide, tier="tier")
+    return out.select("patient_id", "seq", *[F.round(f, 9).alias(f) for f in C.POPULATION_FEATURES], "tier")
+
+
 _E = {"env": fx.ENVIRONMENT, "env_clean": q.ENV_CLEAN, "env_wide": q.ENV_WIDE}
 _ENV = ", ".join(f"round({c}, 9) AS {c}" for c in q.ENV_COLUMNS)
 
@@ -527,7 +546,16 @@ def feature_tables(spark, sf):
   SELECT *, row_number() OVER (PARTITION BY country_iso3 ORDER BY measured_at DESC NULLS LAST, event_id) AS recency
   FROM env_clean) r WHERE recency <= 100"""))
 def env_latest_by_country(spark, sf):
-    out = environment.latest_by_country(clean_environment(spark, sf), "event_id")
+    out = environment.latest_by_country(clean_environment(spark, sf), "event_id", 100)
+    return out.withColumn("measured_at", stamp("measured_at"))
+
+
+@register("env_latest_all", q.with_ctes(
+    {"env": fx.ENVIRONMENT, "env_clean": q.ENV_CLEAN}, f"""SELECT {_ENV_OUT}, CAST(row_number() OVER (
+  PARTITION BY country_iso3 ORDER BY measured_at DESC NULLS LAST, event_id) AS INT) AS recency FROM env_clean"""))
+def env_latest_all(spark, sf):
+    """Without a limit every reading stays, ranked."""
+    out = environment.latest_by_country(clean_environment(spark, sf), "event_id", None)
     return out.withColumn("measured_at", stamp("measured_at"))
 
 
@@ -547,6 +575,6 @@ _POINTS = """SELECT c_custkey AS point_id, CAST((c_custkey * 13) % 120 AS DOUBLE
   WHERE recency <= 100"""))
 def env_within_radius(spark, sf):
     points = fx.load(spark, sf, _POINTS)
-    out = environment.within_radius(points, clean_environment(spark, sf), "event_id")
+    out = environment.within_radius(points, clean_environment(spark, sf), "event_id", 100)
     return out.select("point_id", "event_id", stamp("measured_at"), "parameter", "value",
                       F.round("distance_m", 3).alias("distance_m"), "recency")

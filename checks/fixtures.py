@@ -51,10 +51,9 @@ SELECT CASE k WHEN 1 THEN 'worldbank' WHEN 2 THEN 'ihme_gbd' WHEN 3 THEN 'worldb
        WHEN k = 3 THEN CAST((o_orderkey * 13) % 95 AS DOUBLE) / 100
        ELSE CAST(20 + (o_orderkey * 13) % 40 AS DOUBLE) END AS value,
   '%' AS unit, o_orderkey AS row_order
-FROM (SELECT o_orderkey, o_orderkey % 6 AS k, o_custkey % 3 AS t, o_custkey % 25 AS nation,
+FROM (SELECT o_orderkey, o_orderkey % 6 AS k, CASE WHEN o_custkey % 25 = 3 AND o_custkey % 3 = 0 THEN 1 ELSE o_custkey % 3 END AS t, o_custkey % 25 AS nation,
         CASE WHEN o_orderkey % 41 = 0 THEN 1989 ELSE CAST(year(o_orderdate) AS INT) END AS year
       FROM orders) o
-WHERE NOT (nation = 3 AND t = 0)
 """
 
 ENVIRONMENT = """

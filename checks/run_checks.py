@@ -20,9 +20,8 @@ from cohort_risk.streaming import readings
 QUERIES = {}
 ORACLES = {}
 
-# small models: the registered queries check the path, not the model quality
-FOREST = C.ForestParams(num_trees=10, max_depth=5)
-KERNEL = C.KernelParams(n_components=64, max_iter=20)
+FOREST = C.ForestParams()
+KERNEL = C.KernelParams()
 SCORED_AT = "2024-06-01 00:00:00"
 
 
@@ -133,6 +132,27 @@ def landed_round_trip(spark, sf):
         "dataset", "source", "value", "parameter")
 
 
+@register("clean_round_trip", q.with_ctes(
+    q.validated(fx.INDIVIDUAL), "SELECT patient_id, seq FROM clean"))
+def clean_round_trip(spark, sf):
+    """Two runs of the same day and an earlier one: the newest snapshot counts, once."""
+    path = shared_dir(spark, "validated")
+    tagged = validate.tag_individual(fx.load(spark, sf, fx.INDIVIDUAL), ["seq"])
+    for day in ("20240101_000000", "20240102_000000", "20240102_000000"):
+        tables.write_validated(tagged, path, "individual", day)
+    return tables.read_clean(spark, path).select("patient_id", "seq")
+
+
+@register("snapshot_rerun", q.with_ctes(
+    q.scored(fx.BRANCH_PROBS), f"SELECT {', '.join(_KEPT)} FROM scored"))
+def snapshot_rerun(spark, sf):
+    """A run that is repeated replaces its snapshot."""
+    path = shared_dir(spark, "scores")
+    for _ in range(2):
+        tables.write_scores(sc.scored(spark, sf), path, "20240101_000000")
+    return tables.read_scores(spark, path).select(*_KEPT)
+
+
 @register("quarantine_round_trip", q.with_ctes(
     q.validated(fx.INDIVIDUAL), "SELECT patient_id, seq, _reject, 'individual' AS _source, "
                                 "CAST(len(string_split(_reject, '; ')) AS INT) AS n_reasons "

@@ -163,10 +163,10 @@ def population(text: str) -> dict[str, str]:
     }
 
 
-def tiered(source: str, with_tier: bool = False) -> dict[str, str]:
+def tiered(source: str, with_tier: bool = False, lead: str | None = None) -> dict[str, str]:
     """CTEs ending in ``tiered``: individuals with population features by closest match."""
     features = C.POPULATION_FEATURES
-    lead = features[0]
+    lead = lead or features[0]
     avgs = ", ".join(f"avg({f}) AS {f}" for f in features)
     last = ", ".join(f"arg_max({f}, year) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in features)
     chosen = ", ".join(

@@ -18,11 +18,16 @@ def _order(order_by: Sequence[Column | str]) -> list[Column]:
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str],
-                  k: int = 1, rank: str | None = None) -> DataFrame:
-    """First ``k`` rows per key in the given total order; NULL keys form one group."""
+                  k: int | None = 1, rank: str | None = None) -> DataFrame:
+    """First ``k`` rows per key in the given total order; NULL keys form one group.
+
+    Without ``k`` all rows stay, ranked.
+    """
     name = rank or "__rank"
     window = Window.partitionBy(*keys).orderBy(*_order(order_by))
-    out = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
+    out = df.withColumn(name, F.row_number().over(window))
+    if k is not None:
+        out = out.filter(F.col(name) <= k)
     return out if rank else out.drop(name)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohort_risk import config as C
 from cohort_risk.functions.stats import kolmogorov_pvalue, normal_cdf
 from cohort_risk.operators.ranks import exact_quantiles, running_totals, value_counts
-from cohort_risk.session import lookup_side, stored
+from cohort_risk.session import stored
 
 DECILES = {f"q{i}": i / 10 for i in range(11)}
 
@@ -31,7 +31,7 @@ def moments(counts: DataFrame, n: str = "n") -> DataFrame:
     rows = counts.filter(F.col(n) > 0)
     first = rows.groupBy("feature").agg(
         F.sum(n).alias("n"), (F.sum(F.col("value") * F.col(n)) / F.sum(n)).alias("mean"))
-    means = lookup_side(first.select("feature", F.col("mean").alias("__mean")), "means")
+    means = first.select("feature", F.col("mean").alias("__mean"))
     spread = (rows.join(means, "feature").groupBy("feature").agg(
         F.sum(F.pow(F.col("value") - F.col("__mean"), 2) * F.col(n)).alias("__ss")))
     return first.join(spread, "feature").select(
@@ -74,7 +74,7 @@ def histogram(counts: DataFrame, bins: DataFrame, n: str = "n",
     Empty bins are kept with a count of 0.
     """
     value = F.col("value")
-    edges = lookup_side(bins, "bins")
+    edges = bins
     inside = (counts.join(edges, "feature")
               .filter((value >= F.col("low"))
                       & ((value < F.col("high")) | (F.col("last") & (value == F.col("high"))))))
@@ -117,10 +117,10 @@ def psi(bins: DataFrame, counts: DataFrame) -> DataFrame:
 
 def ks_normal(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     """One-sample test of the current values against Normal(mean, std) of the baseline."""
-    params = lookup_side(baseline.select("feature", "mean", "std"), "normal")
+    params = baseline.select("feature", "mean", "std")
     ranked = running_totals(counts, ["feature"], "value", ["n"]).join(params, "feature")
     total = F.col("__total")
-    sizes = lookup_side(counts.groupBy("feature").agg(F.sum("n").alias("__total")), "sizes")
+    sizes = counts.groupBy("feature").agg(F.sum("n").alias("__total"))
     expected = normal_cdf((F.col("value") - F.col("mean")) / F.col("std"))
     gap = F.greatest(F.col("cum_n") / total - expected,
                      expected - (F.col("cum_n") - F.col("n")) / total)
@@ -136,8 +136,8 @@ def ks_two_sample(long: DataFrame, is_baseline) -> DataFrame:
     counts = value_counts(long, ["feature"],
                           weights={"nb": side.cast("int"), "nc": (~side).cast("int")})
     ranked = running_totals(counts, ["feature"], "value", ["nb", "nc"])
-    sizes = lookup_side(counts.groupBy("feature").agg(
-        F.sum("nb").alias("__b"), F.sum("nc").alias("__c")), "sizes")
+    sizes = counts.groupBy("feature").agg(
+        F.sum("nb").alias("__b"), F.sum("nc").alias("__c"))
     gap = F.abs(F.try_divide(F.col("cum_nb"), F.col("__b"))
                 - F.try_divide(F.col("cum_nc"), F.col("__c")))
     out = ranked.join(sizes, "feature").groupBy("feature").agg(

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
 from cohort_risk.operators.ranks import exact_quantiles, value_counts
-from cohort_risk.session import lookup_side
 
 TIER1_KEYS = ["country_iso3", "year", "sex", "age_group_bin"]
 
@@ -23,30 +24,42 @@ def _unique(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in features])
 
 
-def tiered_join(ind: DataFrame, pop_wide: DataFrame, tier: str | None = None) -> DataFrame:
-    """Population features by the closest match.
+@dataclass(frozen=True)
+class Tiers:
+    """What of a population table decides about a match; found once, when a model is fitted."""
 
-    1. country, year, sex and age band; 2. country and year over both sexes and all
-    ages; 3. country, latest known value per feature. A tier counts as matched when
-    it gives the alphabetically first feature; a later tier then replaces all
-    features. Every lookup has one row per key, so the number of rows stays.
-    """
-    features = sorted(_matching(pop_wide.columns, C.POPULATION_PREFIXES))
-    if not features:
-        return ind
-    lead = features[0]
-    overall = F.lit(True)
+    lead: str | None
+    overall: bool
+
+    @classmethod
+    def of(cls, pop_wide: DataFrame) -> Tiers:
+        """The first feature that has data, and whether there are rows over all people."""
+        features = population_features(pop_wide)
+        row = pop_wide.agg(*[F.count(c).alias(c) for c in features],
+                           F.count_if(_overall(pop_wide)).alias("__overall")).first()
+        return cls(next((c for c in features if row[c]), None), row["__overall"] > 0)
+
+
+def population_features(pop_wide: DataFrame) -> list[str]:
+    return sorted(_matching(pop_wide.columns, C.POPULATION_PREFIXES))
+
+
+def _overall(pop_wide: DataFrame) -> Column:
+    cond = F.lit(True)
     if "sex" in pop_wide.columns:
-        overall = overall & F.col("sex").isin(C.TIER2_SEXES)
+        cond = cond & F.col("sex").isin(C.TIER2_SEXES)
     if "age_group_bin" in pop_wide.columns:
-        overall = overall & F.col("age_group_bin").isin(C.TIER2_BANDS)
-    if pop_wide.filter(overall).isEmpty():
-        overall = F.lit(True)
+        cond = cond & F.col("age_group_bin").isin(C.TIER2_BANDS)
+    return cond
+
 
+def _resolve(strata: DataFrame, pop_wide: DataFrame, tiers: Tiers, tier: str | None) -> DataFrame:
+    """Population features of each stratum by the closest match."""
+    features = population_features(pop_wide)
     lookups = {}
     if set(TIER1_KEYS) <= set(pop_wide.columns):
         lookups["t1"] = (TIER1_KEYS, _unique(pop_wide, TIER1_KEYS, features))
-    by_year = pop_wide.filter(overall)
+    by_year = pop_wide.filter(_overall(pop_wide)) if tiers.overall else pop_wide
     if "year" in pop_wide.columns:
         by_year = _unique(by_year, ["country_iso3", "year"], features)
         lookups["t2"] = (["country_iso3", "year"], by_year)
@@ -57,11 +70,12 @@ def tiered_join(ind: DataFrame, pop_wide: DataFrame, tier: str | None = None) ->
         latest = _unique(by_year, ["country_iso3"], features)
     lookups["t3"] = (["country_iso3"], latest)
 
-    out = ind
+    out = strata
     for name, (keys, table) in lookups.items():
-        renamed = table.select(*keys, *[F.col(c).alias(f"__{name}_{c}") for c in features])
-        out = out.join(lookup_side(renamed, name), keys, "left")
+        out = out.join(table.select(*keys, *[F.col(c).alias(f"__{name}_{c}") for c in features]),
+                       keys, "left")
     names = list(lookups)
+    lead = tiers.lead or features[0]
 
     def chosen(value):
         expr = None
@@ -76,8 +90,42 @@ def tiered_join(ind: DataFrame, pop_wide: DataFrame, tier: str | None = None) ->
         last = names[-1]
         number[last] = F.when(F.col(f"__{last}_{lead}").isNotNull(), int(last[1])).otherwise(0)
         columns[tier] = chosen(lambda t: number[t])
-    kept = [c for c in ind.columns if c not in columns]
-    return out.select(*kept, *[e.alias(c) for c, e in columns.items()])
+    return out.select(*strata.columns, *[e.alias(c) for c, e in columns.items()])
+
+
+def join_context(ind: DataFrame, pop_wide: DataFrame | None, env_wide: DataFrame | None = None,
+                 tiers: Tiers | None = None, tier: str | None = None) -> DataFrame:
+    """Population and environment columns of every individual.
+
+    Both depend on country, year, sex and age band alone. They are looked up once per
+    distinct stratum, and the individuals are joined to that table once.
+    """
+    if pop_wide is not None and not population_features(pop_wide):
+        pop_wide = None
+    if pop_wide is None and env_wide is None:
+        return ind
+    keys = [c for c in TIER1_KEYS if c in ind.columns]
+    found = ind.select(*keys).distinct()
+    if pop_wide is not None:
+        found = _resolve(found, pop_wide, tiers or Tiers.of(pop_wide), tier)
+    if env_wide is not None:
+        found = found.join(env_wide, "country_iso3", "left")
+    new = [c for c in found.columns if c not in keys]
+    found = found.select(*[F.col(c).alias(f"__of_{c}") for c in keys], *new)
+    same = reduce(lambda a, b: a & b, (ind[c].eqNullSafe(found[f"__of_{c}"]) for c in keys))
+    return ind.drop(*new).join(found, same, "left").drop(*[f"__of_{c}" for c in keys])
+
+
+def tiered_join(ind: DataFrame, pop_wide: DataFrame, tier: str | None = None,
+                tiers: Tiers | None = None) -> DataFrame:
+    """Population features by the closest match.
+
+    1. country, year, sex and age band; 2. country and year over both sexes and all
+    ages; 3. country, latest known value per feature. A tier counts as matched when
+    it gives the alphabetically first feature that has data at all; a later tier then
+    replaces all features. The number of rows stays.
+    """
+    return join_context(ind, pop_wide, None, tiers, tier)
 
 
 def environment_wide(env: DataFrame,
@@ -91,7 +139,7 @@ def environment_wide(env: DataFrame,
 def join_environment(df: DataFrame, env: DataFrame, **kwargs) -> DataFrame:
     if "parameter" not in env.columns or "value" not in env.columns:
         return df
-    return df.join(lookup_side(environment_wide(env, **kwargs), "env"), "country_iso3", "left")
+    return df.join(environment_wide(env, **kwargs), "country_iso3", "left")
 
 
 def context_counts(df: DataFrame, prefixes: tuple[str, ...] = C.FILL_PREFIXES,

@@ -8,19 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_risk.operators.dedup import top_per_group
-from cohort_risk.session import lookup_side
 
 EARTH_RADIUS_M = 6_371_000.0
-MAX_PER_COUNTRY = 1000
 SITE = ["site_lat", "site_lon"]
 SPOT = ["spot_lat", "spot_lon"]
 
 
-def latest_by_country(readings: DataFrame, id_col: str, limit: int = 100) -> DataFrame:
-    """The newest ``limit`` readings per country, at most 1000."""
+def latest_by_country(readings: DataFrame, id_col: str, limit: int | None) -> DataFrame:
+    """The newest ``limit`` readings per country, all of them without a limit."""
     order = [F.desc_nulls_last("measured_at"), F.col(id_col)]
-    return top_per_group(readings, ["country_iso3"], order, min(limit, MAX_PER_COUNTRY),
-                         rank="recency")
+    return top_per_group(readings, ["country_iso3"], order, limit, rank="recency")
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -68,9 +65,9 @@ class _Grid:
         return F.when(last - first + 1 >= cells, everything).otherwise(span)
 
 
-def within_radius(points: DataFrame, readings: DataFrame, id_col: str,
-                  radius_m: float = 10_000, k: int = 100) -> DataFrame:
-    """The newest ``k`` readings within ``radius_m`` of every point.
+def within_radius(points: DataFrame, readings: DataFrame, id_col: str, k: int | None,
+                  radius_m: float = 10_000) -> DataFrame:
+    """The newest ``k`` readings within ``radius_m`` of every point, all of them without ``k``.
 
     ``points`` has latitude and longitude; ``readings`` has them too, ``measured_at``
     and the unique ``id_col``. Patients at one place and readings of one site are
@@ -82,7 +79,7 @@ def within_radius(points: DataFrame, readings: DataFrame, id_col: str,
     recent = [F.desc_nulls_last("measured_at"), F.col(id_col)]
     located = (readings.withColumnsRenamed({"latitude": "site_lat", "longitude": "site_lon"})
                .dropna(subset=SITE))
-    newest = lookup_side(top_per_group(located, SITE, recent, k, rank="__n"), "newest")
+    newest = top_per_group(located, SITE, recent, k, rank="__n")
     sites = (newest.filter(F.col("__n") == 1)
              .select(*SITE, "measured_at", id_col)
              .withColumn("band", grid.band(F.col("site_lat")))

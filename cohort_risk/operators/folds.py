@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort_risk import config as C
-from cohort_risk.session import lookup_side
 
 PREFIX = 4  # hex digits of the hash, 65,536 parts per class
 
@@ -31,7 +30,7 @@ def _positions(df: DataFrame, label: str, ids: Sequence[str], seed: int,
         F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"),
         F.sum("__size").over(Window.partitionBy(label)).alias("__total"))
     inside = Window.partitionBy(label, "__part").orderBy("__hash", *ids)
-    return (hashed.join(lookup_side(offsets, "fold_offsets"), [label, "__part"])
+    return (hashed.join(offsets, [label, "__part"])
             .withColumn("__pos", F.col("__offset") + F.row_number().over(inside) - 1))
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
 from cohort_risk.operators.ranks import exact_quantiles, value_counts, value_modes
-from cohort_risk.session import lookup_side
 
 
 def coerce(df: DataFrame, as_of_year: int) -> DataFrame:
@@ -89,28 +88,19 @@ def prepare(df: DataFrame, as_of_year: int) -> DataFrame:
     return derive(encode(coerce(df, as_of_year)))
 
 
-def imputer_stats(df: DataFrame, approx: bool = False,
+def imputer_stats(df: DataFrame,
                   medians: list[str] = C.MEDIAN_COLUMNS,
                   modes: list[str] = C.MODE_COLUMNS) -> DataFrame:
     """Fill value per column: ``(feature, stat, value)``; wholly null columns are left out.
 
     One pass turns the table into distinct values with counts; exact medians come
-    from :func:`exact_quantiles`. ``approx`` uses the mergeable sketch of
-    ``percentile_approx`` instead.
+    from :func:`exact_quantiles`.
     """
     medians = [c for c in medians if c in df.columns]
     modes = [c for c in modes if c in df.columns]
-    if approx:
-        row = df.agg(*[F.percentile_approx(c, 0.5, 10000).cast("double").alias(f"median|{c}")
-                       for c in medians],
-                     *[F.mode(c, True).cast("double").alias(f"mode|{c}") for c in modes])
-        parts = F.split("__k", r"\|")
-        return (row.unpivot([], row.columns, "__k", "value")
-                .filter(F.col("value").isNotNull())
-                .select(parts[1].alias("feature"), parts[0].alias("stat"), "value"))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in medians + modes]).unpivot(
         [], medians + modes, "feature", "value")
-    counts = lookup_side(value_counts(long, ["feature"]), "value_counts")
+    counts = value_counts(long, ["feature"])
     # no filter by feature before this point: both branches then share one shuffle
     both = exact_quantiles(counts, ["feature"], {"median": 0.5}).join(
         value_modes(counts, ["feature"]), "feature")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cohort_risk import config as C
 from cohort_risk.operators.dedup import keep_first
-from cohort_risk.session import lookup_side
 
 
 def performance_metrics(scored: DataFrame) -> DataFrame:
@@ -92,5 +91,5 @@ def with_truth(scored: DataFrame, truth: DataFrame, order_by: Sequence[str]) ->
     """Scored rows with ``true_label`` where known; one label per patient."""
     labels = keep_first(truth.filter(F.col("patient_id").isNotNull()), ["patient_id"], order_by)
     base = scored.drop("true_label")
-    known = lookup_side(labels.select("patient_id", "true_label"), "truth")
+    known = labels.select("patient_id", "true_label")
     return base.join(known, "patient_id", "left")

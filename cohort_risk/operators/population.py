@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from cohort_risk import config as C
 from cohort_risk.functions import scalars as S
 from cohort_risk.operators.dedup import keep_first
-from cohort_risk.session import lookup_side
 
 PANEL_KEYS = ["country_iso3", "sex", "age_group_bin", "feature_name"]
 
@@ -39,7 +38,7 @@ def normalise_units(df: DataFrame, min_count: int = 5, share: float = 0.95) -> D
         .agg(F.count("*").alias("__n"), F.avg((F.col("value") < 1).cast("double")).alias("__s"))
         .filter((F.col("__n") > min_count) & (F.col("__s") > share))
         .select("indicator_name", F.lit(100.0).alias("__factor")))
-    out = df.join(lookup_side(fractions, "fractions"), "indicator_name", "left")
+    out = df.join(fractions, "indicator_name", "left")
     return out.withColumn(
         "value", F.col("value") * F.coalesce("__factor", F.lit(1.0))
     ).select(*df.columns)

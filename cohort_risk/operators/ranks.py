@@ -1,9 +1,11 @@
 """Exact order statistics without a global sort or a single-task window.
 
 Input is always a table of distinct values with counts, so repeated values are
-combined on the map side. Values are then cut into order-preserving buckets. The
-totals per bucket form a small table whose running sum gives every bucket its
-offset; the running sum inside a bucket is an ordinary window over that bucket.
+combined on the map side. Values are then cut into order-preserving buckets: first
+by magnitude, then each of those between its own smallest and largest value, into
+as many parts as its number of values asks for. The totals per bucket form a small
+table whose running sum gives every bucket its offset; the running sum inside a
+bucket is an ordinary window over that bucket.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohort_risk.session import lookup_side
 
 BUCKETS_PER_OCTAVE = 1024
+#: Distinct values that a bucket should hold.
+BUCKET_VALUES = 20_000
+_BUCKET = ["__bucket", "__part"]
 
 
 def order_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
@@ -31,6 +35,20 @@ def order_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
     return F.coalesce(bucket, F.lit(0).cast("bigint"))
 
 
+def _cut(counts: DataFrame, groups: Sequence[str], value: str,
+         bucket_values: int = BUCKET_VALUES) -> DataFrame:
+    """Add the two bucket columns; together they never decrease as ``value`` grows."""
+    coarse = counts.withColumn("__bucket", order_bucket(F.col(value)))
+    shape = coarse.groupBy(*groups, "__bucket").agg(
+        F.min(value).alias("__low"), F.max(value).alias("__high"),
+        F.ceil(F.count("*") / bucket_values).alias("__parts"))
+    place = F.floor((F.col(value) - F.col("__low")) / (F.col("__high") - F.col("__low")) * F.col("__parts"))
+    part = F.when(F.col("__high") > F.col("__low"), F.least(place, F.col("__parts") - 1))
+    return (coarse.join(shape, [*groups, "__bucket"])
+            .withColumn("__part", F.coalesce(part, F.lit(0).cast("bigint")))
+            .drop("__low", "__high", "__parts"))
+
+
 def value_counts(long: DataFrame, groups: Sequence[str], value: str = "value",
                  weights: dict[str, Column] | None = None) -> DataFrame:
     """Distinct non-null values per group with their counts."""
@@ -44,16 +62,16 @@ def value_counts(long: DataFrame, groups: Sequence[str], value: str = "value",
 def running_totals(counts: DataFrame, groups: Sequence[str], value: str,
                    columns: Sequence[str]) -> DataFrame:
     """Add ``cum_<column>``: the total over all values up to and including this one."""
-    cut = counts.withColumn("__bucket", order_bucket(F.col(value)))
-    by_bucket = cut.groupBy(*groups, "__bucket").agg(
+    cut = _cut(counts, groups, value)
+    by_bucket = cut.groupBy(*groups, *_BUCKET).agg(
         *[F.sum(c).alias(c) for c in columns])
-    before = (Window.partitionBy(*groups).orderBy("__bucket")
+    before = (Window.partitionBy(*groups).orderBy(*_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = by_bucket.select(
-        *groups, "__bucket",
+        *groups, *_BUCKET,
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__off_{c}") for c in columns])
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(value)
-    return (cut.join(offsets, [*groups, "__bucket"])
+    inside = Window.partitionBy(*groups, *_BUCKET).orderBy(value)
+    return (cut.join(offsets, [*groups, *_BUCKET])
             .select(*groups, value, *columns,
                     *[(F.col(f"__off_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}")
                       for c in columns]))
@@ -65,9 +83,9 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: dict[str, f
 
     Only the buckets that hold a wanted rank are sorted.
     """
-    cut = counts.withColumn("__bucket", order_bucket(F.col(value)))
-    by_bucket = cut.groupBy(*groups, "__bucket").agg(F.sum(count).alias("__size"))
-    running = Window.partitionBy(*groups).orderBy("__bucket")
+    cut = _cut(counts, groups, value)
+    by_bucket = cut.groupBy(*groups, *_BUCKET).agg(F.sum(count).alias("__size"))
+    running = Window.partitionBy(*groups).orderBy(*_BUCKET)
     located = (by_bucket
                .withColumn("__end", F.sum("__size").over(running))
                .withColumn("__total", F.sum("__size").over(Window.partitionBy(*groups)))
@@ -78,10 +96,10 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: dict[str, f
     wanted = (located.withColumn("__ranks", F.expr(
         f"filter(array_distinct({ranks}), r -> r >= __start AND r < __end)"))
         .filter("size(__ranks) > 0"))
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(value)
+    inside = Window.partitionBy(*groups, *_BUCKET).orderBy(value)
     # at most two buckets per group and quantile: the other values are dropped before
     # anything is shuffled again
-    ranked = (cut.join(lookup_side(wanted, "ranks"), [*groups, "__bucket"])
+    ranked = (cut.join(wanted, [*groups, *_BUCKET])
               .withColumn("__hi", F.col("__start") + F.sum(count).over(inside))
               .withColumn("__lo", F.col("__hi") - F.col(count)))
     hits = ranked.select(*groups, value, "__total", F.explode(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cohort_risk import config as C
 from cohort_risk.operators import enrich, individual
-from cohort_risk.session import lookup_side, stored
+from cohort_risk.session import stored
 
 _STATS = T.StructType().add("kind", "string").add("feature", "string").add("value", "double")
 
@@ -26,6 +26,7 @@ class FeatureModel:
     pop_wide: DataFrame | None = None
     env_wide: DataFrame | None = None
     clamp_target: bool = field(default=True)
+    tiers: enrich.Tiers | None = None
 
     def base(self, ind: DataFrame) -> DataFrame:
         """Encoded, derived, imputed and banded individuals."""
@@ -35,11 +36,7 @@ class FeatureModel:
 
     def context(self, df: DataFrame) -> DataFrame:
         """Population and environment columns by country, year, sex and age band."""
-        if self.pop_wide is not None:
-            df = enrich.tiered_join(df, self.pop_wide)
-        if self.env_wide is not None:
-            df = df.join(lookup_side(self.env_wide, "env"), "country_iso3", "left")
-        return df
+        return enrich.join_context(df, self.pop_wide, self.env_wide, self.tiers)
 
     def transform(self, ind: DataFrame, with_target: bool = False) -> DataFrame:
         """Enriched individuals. Scoring leaves the target out and reuses all statistics."""
@@ -54,6 +51,8 @@ class FeatureModel:
                 ("clamp", "clamp_target", float(self.clamp_target))]
         rows += [("imputer", k, v) for k, v in self.imputer.items()]
         rows += [("fill", k, v) for k, v in self.fills.items()]
+        if self.tiers:
+            rows += [("overall", self.tiers.lead or "", float(self.tiers.overall))]
         for k, (low, high) in self.bounds.items():
             rows += [("min", k, low), ("max", k, high)]
         spark.createDataFrame(rows, _STATS).coalesce(1).write.parquet(f"{path}/stats")
@@ -68,17 +67,19 @@ class FeatureModel:
         for row in spark.read.schema(_STATS).parquet(f"{path}/stats").collect():
             stats.setdefault(row["kind"], {})[row["feature"]] = row["value"]
         high = stats.get("max", {})
+        tiers = [enrich.Tiers(k or None, bool(v)) for k, v in stats.get("overall", {}).items()]
         return cls(
             as_of_year=int(stats["year"]["as_of_year"]),
             imputer=stats.get("imputer", {}), fills=stats.get("fill", {}),
             bounds={k: (low, high[k]) for k, low in stats.get("min", {}).items()},
             pop_wide=spark.read.parquet(f"{path}/pop_wide") if with_population else None,
             env_wide=spark.read.parquet(f"{path}/env_wide") if with_environment else None,
-            clamp_target=bool(stats["clamp"]["clamp_target"]))
+            clamp_target=bool(stats["clamp"]["clamp_target"]),
+            tiers=tiers[0] if tiers and with_population else None)
 
 
 def fit(ind: DataFrame, pop_wide: DataFrame | None, env: DataFrame | None,
-        as_of_year: int, approx: bool = False) -> FeatureModel:
+        as_of_year: int) -> FeatureModel:
     """Fit all statistics on validated individuals.
 
     Context columns depend on country, year, sex and age band only, so their
@@ -86,9 +87,11 @@ def fit(ind: DataFrame, pop_wide: DataFrame | None, env: DataFrame | None,
     """
     model = FeatureModel(as_of_year, {}, {}, {})
     prepared = individual.prepare(ind, as_of_year)
-    model.imputer = individual.stats_dict(individual.imputer_stats(prepared, approx))
+    model.imputer = individual.stats_dict(individual.imputer_stats(prepared))
     # each lookup serves several joins here and in every later transform
-    model.pop_wide = stored(pop_wide, "pop_wide") if pop_wide is not None else None
+    if pop_wide is not None:
+        model.pop_wide = stored(pop_wide, "pop_wide")
+        model.tiers = enrich.Tiers.of(model.pop_wide)
     if env is not None:
         model.env_wide = stored(enrich.environment_wide(env), "env_wide")
     strata = (model.base(ind).groupBy("country_iso3", "year", "sex", "age_group_bin")

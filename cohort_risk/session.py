@@ -54,29 +54,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes, -1 when switched off."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def lookup_side(df: DataFrame, purpose: str = "lookup") -> DataFrame:
-    """Prepare the small side of a join without assuming that it is small.
-
-    Below the broadcast threshold the frame is returned as it is and Catalyst
-    broadcasts it. Above, the estimate is often that of the raw input rather than
-    of the aggregate, so the lookup is stored and Catalyst decides on the size of
-    the files: broadcast if small, otherwise a sort-merge join. Reading the stored
-    files puts a shuffle directly under that join, which adaptive execution needs
-    to split hot keys of the other side; a window or aggregate in between would
-    prevent it.
-    """
-    if estimated_bytes(df) <= broadcast_limit(df.sparkSession):
-        return df
-    return stored(df, purpose)

@@ -1,8 +1,8 @@
 """Snapshot tables, quarantine, exports.
 
-A table is a folder of Parquet files partitioned by ``snapshot_ts``; a run adds one
-partition, and the latest state is the newest partition. Nothing is overwritten, so a
-reader never sees half a table.
+A table is a folder of Parquet files partitioned by ``snapshot_ts``; a run writes one
+partition, and the latest state is the newest partition. A run that is repeated replaces
+its own partition and touches no other.
 """
 
 from __future__ import annotations
@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from cohort_risk.operators.scoring import result_schema
 
 
+def _write(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write partitions; those of ``path`` that ``df`` has rows of are replaced."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
 def write_snapshot(df: DataFrame, path: str, snapshot_ts: str, kind: str = "full",
                    written_at: str | None = None) -> None:
     """Add one snapshot. ``kind="partial"`` rows (single patients) never become latest."""
     out = df.withColumns({"_written_at": F.lit(written_at or snapshot_ts),
                           "snapshot_kind": F.lit(kind), "snapshot_ts": F.lit(snapshot_ts)})
-    out.write.mode("append").partitionBy("snapshot_kind", "snapshot_ts").parquet(path)
+    _write(out, path, "snapshot_kind", "snapshot_ts")
 
 
 def latest_snapshot(df: DataFrame, column: str = "snapshot_ts") -> DataFrame:
@@ -50,11 +56,9 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_landed(datasets: Mapping[str, DataFrame], root: str, snapshot_ts: str) -> None:
-    """Land datasets under ``dataset=<name>/snapshot_ts=<ts>``; empty ones leave no files."""
+    """Land datasets under ``dataset=<name>/snapshot_ts=<ts>``; empty ones leave no rows."""
     for name, df in datasets.items():
-        if not df.isEmpty():
-            (df.withColumn("snapshot_ts", F.lit(snapshot_ts)).write.mode("append")
-             .partitionBy("snapshot_ts").parquet(f"{root}/dataset={name}"))
+        _write(df.withColumn("snapshot_ts", F.lit(snapshot_ts)), f"{root}/dataset={name}", "snapshot_ts")
 
 
 def read_landed(spark: SparkSession, root: str, prefix: str) -> DataFrame:
@@ -68,13 +72,13 @@ def write_validated(tagged: DataFrame, path: str, name: str, snapshot_ts: str) -
 
     Both sides are read back by partition, so the validation runs once.
     """
-    (tagged.withColumns({"_source": F.lit(name), "rejected": F.col("_reject") != "",
-                         "snapshot_ts": F.lit(snapshot_ts)})
-     .write.mode("append").partitionBy("rejected", "snapshot_ts").parquet(path))
+    _write(tagged.withColumns({"_source": F.lit(name), "rejected": F.col("_reject") != "",
+                               "snapshot_ts": F.lit(snapshot_ts)}), path, "rejected", "snapshot_ts")
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path).filter(F.col("rejected") == "false")
+    """The clean rows of the newest snapshot; earlier ones stay for the quarantine's history."""
+    rows = latest_snapshot(spark.read.parquet(path)).filter(F.col("rejected") == "false")
     return rows.drop("_reject", "_source", "rejected", "snapshot_ts")
 
 
@@ -84,8 +88,8 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_log(df: DataFrame, path: str, run_ts: str) -> None:
-    """Append a monitoring log: one drift row per feature, one performance row per run."""
-    df.withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(path)
+    """Add a run to a log: one drift row per feature, or one performance row."""
+    _write(df.withColumn("run_ts", F.lit(run_ts)), path, "run_ts")
 
 
 def write_csv_exports(views: Mapping[str, DataFrame], root: str) -> None:

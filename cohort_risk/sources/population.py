@@ -56,14 +56,6 @@ def who_records(payloads: DataFrame, year_from: int = 2000, year_to: int = 2023,
     }, ingested_at)
 
 
-def _capped(df: DataFrame, column: str, values: Sequence[str], cap: int | None) -> DataFrame:
-    """Rows of the listed values; with a cap, at most that many per value."""
-    if cap is None:
-        return df.filter(F.col(column).isin(*values))
-    parts = [df.filter(F.col(column) == v).limit(cap) for v in values]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _us(location: str) -> dict[str, Column]:
     return {"country_iso3": F.lit("USA"), "country_name": F.lit("United States"),
             "region": F.col(location), "unit": F.lit("%")}
@@ -74,12 +66,11 @@ def _metric(name: str) -> Column:
 
 
 def cdi_records(rows: DataFrame, year_from: int = 2010, year_to: int = 2023,
-                max_per_topic: int | None = None, topics: Sequence[str] = tuple(C.CDI_TOPICS),
+                topics: Sequence[str] = tuple(C.CDI_TOPICS),
                 ingested_at: Column | None = None) -> DataFrame:
     """Chronic-disease indicators of the listed topics within the years."""
     start, end = S.text_to_int("yearstart"), S.text_to_int("yearend")
-    kept = _capped(rows.filter((start >= year_from) & (end <= year_to)),
-                   "topic", topics, max_per_topic)
+    kept = rows.filter((start >= year_from) & (end <= year_to) & F.col("topic").isin(*topics))
     return _population(kept, "cdc_cdi", {
         **_us("locationdesc"),
         "year": start,
@@ -95,13 +86,11 @@ def cdi_records(rows: DataFrame, year_from: int = 2010, year_to: int = 2023,
 
 
 def brfss_records(rows: DataFrame, year_from: int = 2010, year_to: int = 2023,
-                  max_records: int | None = None, classes: Sequence[str] = tuple(C.BRFSS_CLASSES),
+                  classes: Sequence[str] = tuple(C.BRFSS_CLASSES),
                   ingested_at: Column | None = None) -> DataFrame:
     """Behavioural survey rows of the listed classes within the years."""
     year = S.text_to_int("year")
     kept = rows.filter(F.col("class").isin(*classes) & year.between(year_from, year_to))
-    if max_records is not None:
-        kept = kept.limit(max_records)
     return _population(kept, "cdc_brfss", {
         **_us("locationdesc"),
         "year": year,
@@ -123,22 +112,25 @@ def tidy_header(names: Sequence[str]) -> list[str]:
 def read_gbd(spark: SparkSession, directory: str) -> DataFrame | None:
     """Burden-of-disease CSV files whose header has all required columns.
 
-    Files are grouped by header and each group is read as one frame, so the number
-    of scans follows the number of layouts, not of files.
+    One pass finds the header line of every file. Only the distinct layouts come to the
+    driver; each is one CSV read over the whole folder, joined to the files that have it,
+    so the work follows the number of layouts, not of files.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-               .load(directory).select("path"))
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in listing.collect():
-        header = tuple(spark.read.option("header", True).csv(row["path"]).columns)
-        layouts.setdefault(header, []).append(row["path"])
+    lines = (spark.read.option("pathGlobFilter", "*.csv").text(directory)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line")))
+    heads = (lines.filter(F.col("block") == 0).groupBy("file")
+             .agg(F.min_by("value", "line").alias("head")))
     frames = []
-    for header, paths in layouts.items():
-        names = tidy_header(header)
+    for row in heads.select("head").distinct().collect():
+        names = tidy_header(row["head"].lstrip("\ufeff").replace('"', "").split(","))
         if set(C.GBD_REQUIRED) <= set(names):
-            raw = spark.read.option("header", True).schema(
-                ", ".join(f"`{n}` string" for n in names)).csv(sorted(paths))
-            frames.append(raw.select(*C.GBD_REQUIRED))
+            files = heads.filter(F.col("head") == row["head"]).select("file")
+            raw = (spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", True)
+                   .schema(", ".join(f"`{n}` string" for n in names)).csv(directory)
+                   .withColumn("file", F.col("_metadata.file_path")))
+            frames.append(raw.join(files, "file", "left_semi").select(*C.GBD_REQUIRED))
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
@@ -167,16 +159,28 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
-def worldbank_records(payloads: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Rows of ``[meta, rows[]]`` payload texts ``(indicator_name, payload)``."""
+def worldbank_records(payloads: DataFrame, ingested_at: Column | None = None,
+                      year_from: int | None = None, year_to: int | None = None,
+                      countries: Sequence[str] | None = None) -> DataFrame:
+    """Rows of ``[meta, rows[]]`` payload texts ``(indicator_name, payload)``.
+
+    Bounds and countries are those that a request would name; None takes all.
+    """
     rows = payloads.select("indicator_name", F.inline(F.from_json(
         F.get_json_object("payload", "$[1]"), schemas.WORLDBANK_ROWS)))
     kept = rows.filter(F.col("value").isNotNull())
+    year = S.text_to_int(F.substring("date", 1, 4))
+    code = F.coalesce(F.nullif(F.col("countryiso3code"), F.lit("")), F.col("country.id"))
+    if year_from is not None:
+        kept = kept.filter(year >= year_from)
+    if year_to is not None:
+        kept = kept.filter(year <= year_to)
+    if countries is not None:
+        kept = kept.filter(code.isin(*countries))
     return _population(kept, "worldbank", {
-        "country_iso3": F.coalesce(F.nullif(F.col("countryiso3code"), F.lit("")),
-                                   F.col("country.id")),
+        "country_iso3": code,
         "country_name": F.col("country.value"),
-        "year": S.text_to_int(F.substring("date", 1, 4)),
+        "year": year,
         "sex": F.lit("Both"),
         "age_group": F.lit("All ages"),
         "indicator_code": S.lookup("indicator_name", C.WORLDBANK_INDICATORS),
