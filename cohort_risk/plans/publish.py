@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohort_risk.operators import views
 from cohort_risk.plans.monitoring import MonitoringRun
@@ -17,7 +18,8 @@ def reporting_views(scored: DataFrame, pop_long: DataFrame | None, importances:
         "feature_importance_view": views.feature_importance(importances)
         .withColumn("extracted_at", timestamp),
         "model_health_view": views.model_health(
-            run.performance, run.drift, run.summary, run.decision, timestamp),
+            run.performance, run.drift, run.summary, run.decision, timestamp)
+        .withColumn("value", F.round("value", 4)),
     }
 
 

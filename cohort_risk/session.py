@@ -37,12 +37,25 @@ def _root(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach."""
+def _run_dir(spark: SparkSession) -> str:
     root = _root(spark)
     if root is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder of this application below ``spark.checkpoint.dir``."""
+    return f"{_run_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application.
+
+    For the end of a run: frames that still read one of them can't be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -177,4 +177,5 @@ def test_shared_dir_follows_the_session(spark):
         assert folder.startswith(root)
     else:
         assert folder.startswith(spark.sparkContext.getCheckpointDir())
+    assert spark.sparkContext.applicationId in folder
     assert stored(spark.range(3).toDF("n"), "y").count() == 3
