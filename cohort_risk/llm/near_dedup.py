@@ -11,8 +11,9 @@ probability of their similarity, at a cost of one step per shingle and dart.
 Texts of equal signature bands meet in buckets. Nothing lists all pairs of a bucket. First,
 shingles that a single one of these texts has can't be shared, which bounds the similarity to
 any other: texts that can't reach the threshold leave the bucket. The rest are compared with a
-leader, the text with the fewest shingles of its own; how many shingles two texts have in each
-of some hash groups bounds what they share, and few pairs pass that by accident. Only buckets whose members then belong to
+leader, the text with the fewest shingles of its own; where two texts have an odd and an even
+number of shingles in a hash group, one of them is not shared, and few pairs pass that bound by
+accident. Only buckets whose members then belong to
 several classes are compared further, with more leaders each round, until every pair that could
 still join two classes has been compared. Each comparison is of the exact shingles.
 """
@@ -35,8 +36,8 @@ from cohort_risk.session import stored
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at 0.8 shares no band with a probability of (1 - 0.8 ** 6) ** 40, 5 in a million.
 BANDS, ROWS = 40, 6
-#: Hash groups of a text's profile.
-GROUPS = 64
+#: Hash groups of a text's profile, a multiple of 64.
+GROUPS = 1024
 #: Characters that are hashed at a time.
 SLICE = 1_500_000
 
@@ -129,7 +130,7 @@ def _sketches(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 
 def _profiles(texts: DataFrame) -> DataFrame:
-    """Per id, the keys of its shingles and how many of them each hash group has."""
+    """Per id, the keys of its shingles and a bit per hash group: whether it has an odd number."""
     def run(batches):
         for batch in batches:
             at = 0
@@ -138,15 +139,16 @@ def _profiles(texts: DataFrame) -> DataFrame:
                 keys, bounds = elements(part)
                 text = np.repeat(np.arange(len(part)), np.diff(bounds))
                 group = text * GROUPS + (keys >> np.uint64(32)).astype(np.int64) % GROUPS
-                profile = np.bincount(group, minlength=len(part) * GROUPS).astype(np.int32)
-                ends = np.arange(len(part) + 1, dtype=np.int32) * GROUPS
+                profile = np.zeros(len(part) * GROUPS // 64, np.uint64)
+                np.bitwise_xor.at(profile, group // 64, np.uint64(1) << (group % 64).astype(np.uint64))
+                ends = np.arange(len(part) + 1, dtype=np.int32) * (GROUPS // 64)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(profile))],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(profile.view(np.int64)))],
                     ["id", "keys", "profile"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, keys array<bigint>, profile array<int>")
+    return texts.mapInArrow(run, f"id {kind}, keys array<bigint>, profile array<bigint>")
 
 
 def _own(profiles: DataFrame) -> DataFrame:
@@ -156,10 +158,10 @@ def _own(profiles: DataFrame) -> DataFrame:
             .filter("texts = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
 
 
-def _common_at_most(a: str, b: str) -> F.Column:
-    """Bound on the shingles that two texts share, from their profiles."""
+def _apart_at_least(a: str, b: str) -> F.Column:
+    """Bound on the shingles that only one of two texts has, from their profiles."""
     return reduce(lambda x, y: x + y, (
-        F.least(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in range(GROUPS)))
+        F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(GROUPS // 64)))
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -259,7 +261,8 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile"))), "leaders")
         pairs = (placed.join(chosen, "bucket").filter(
             (F.col("class") != F.col("class_a")) & (F.col("id") != F.col("id_a"))
-            & (_common_at_most("profile", "profile_a") >= part * (F.col("n") + F.col("n_a")) - 1e-9))
+            & ((F.col("n") + F.col("n_a") - _apart_at_least("profile", "profile_a")) / 2
+               >= part * (F.col("n") + F.col("n_a")) - 1e-9))
             .select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
         labels = components(_alike(pairs, texts, similarity), labels)
         left = placed.drop("class").join(
