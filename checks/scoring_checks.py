@@ -377,19 +377,27 @@ def top_drift(spark, sf):
 
 # --- monitoring --------------------------------------------------------------------
 
-_PERF = {**_S, "perf": """SELECT avg(CASE WHEN warning_level >= 3 THEN 1e0 ELSE 0e0 END) AS high_risk_rate,
+_F1 = {"conf": "SELECT true_label AS truth, predicted_class AS pred, count(*) AS n FROM scored "
+               "WHERE true_label IS NOT NULL GROUP BY ALL",
+       "f1": "SELECT avg(f1) AS f1_macro FROM (SELECT label, 2 * sum(tp) / CAST(sum(size) AS DOUBLE) AS f1 FROM ("
+             "SELECT truth AS label, CASE WHEN truth = pred THEN n ELSE 0 END AS tp, n AS size FROM conf "
+             "UNION ALL SELECT pred, 0, n FROM conf) s GROUP BY label) r"}
+_LEVELS = ", ".join(f"avg(CASE WHEN warning_level = {k} THEN 1e0 ELSE 0e0 END) AS level_share_{k}" for k in (1, 2, 3, 4))
+_PERF = {**_S, **_F1, "perf": f"""SELECT {_LEVELS}, (SELECT f1_macro FROM f1) AS f1_macro_vs_groundtruth,
+  avg(CASE WHEN warning_level >= 3 THEN 1e0 ELSE 0e0 END) AS high_risk_rate,
   avg(abs(branch_a_score - branch_b_score)) AS branch_divergence_mean, avg(branch_a_score) AS branch_a_mean,
   avg(branch_b_score) AS branch_b_mean, avg(ensemble_risk_score) AS risk_score_mean,
   stddev_samp(ensemble_risk_score) AS risk_score_std, quantile_cont(ensemble_risk_score, 0.9) AS risk_score_p90,
   count(*) AS n_scored FROM scored"""}
 _PERF_COLS = ["high_risk_rate", "branch_divergence_mean", "branch_a_mean", "branch_b_mean",
-              "risk_score_mean", "risk_score_std", "risk_score_p90"]
+              "risk_score_mean", "risk_score_std", "risk_score_p90", "f1_macro_vs_groundtruth",
+              *[f"level_share_{k}" for k in (1, 2, 3, 4)]]
 
 
 @register("performance_metrics", q.with_ctes(_PERF, "SELECT " + ", ".join(
     f"round({c}, 8) AS {c}" for c in _PERF_COLS) + ", n_scored FROM perf"))
 def performance_metrics(spark, sf):
-    return monitor.performance_metrics(scored(spark, sf)).withColumns(
+    return monitor.performance_metrics(scored(spark, sf), _overall_f1(spark, sf)).withColumns(
         {c: F.round(c, 8) for c in _PERF_COLS})
 
 
@@ -403,11 +411,6 @@ def _overall_f1(spark, sf) -> DataFrame:
     return metrics.macro_f1(out, "true_label", "pred").select("f1_macro")
 
 
-_F1 = {"conf": "SELECT true_label AS truth, predicted_class AS pred, count(*) AS n FROM scored "
-               "WHERE true_label IS NOT NULL GROUP BY ALL",
-       "f1": "SELECT avg(f1) AS f1_macro FROM (SELECT label, 2 * sum(tp) / CAST(sum(size) AS DOUBLE) AS f1 FROM ("
-             "SELECT truth AS label, CASE WHEN truth = pred THEN n ELSE 0 END AS tp, n AS size FROM conf "
-             "UNION ALL SELECT pred, 0, n FROM conf) s GROUP BY label) r"}
 _REFERENCE_F1 = 0.9
 _NAMES = "'[' || coalesce(string_agg('''' || feature || '''', ', ' ORDER BY feature) FILTER (WHERE status = '{s}'), '') || ']'"
 _DECISION = {**_MON, **_F1, "decision": f"""SELECT n_alert, n_warn, concat_ws('; ',

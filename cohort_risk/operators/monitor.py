@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from cohort_risk import config as C
 from cohort_risk.operators.dedup import keep_first
 
+WARNING_LEVELS = (1, 2, 3, 4)
 
-def performance_metrics(scored: DataFrame) -> DataFrame:
-    """One row of score statistics.
 
-    Scores carry four digits, so the exact percentile sees at most 10,001 values.
+def performance_metrics(scored: DataFrame, f1: DataFrame | None = None) -> DataFrame:
+    """One row of score statistics and shares of the warning levels.
+
+    Scores carry four digits, so the exact percentile sees at most 10,001 values. ``f1`` is
+    a one-row frame with ``f1_macro`` against known diagnoses; without it the column is NULL.
     """
     score = F.round("ensemble_risk_score", 4)
-    return scored.agg(
+    row = scored.agg(
+        *[F.avg((F.col("warning_level") == level).cast("double")).alias(f"level_share_{level}")
+          for level in WARNING_LEVELS],
         F.avg((F.col("warning_level") >= 3).cast("double")).alias("high_risk_rate"),
         F.avg(F.abs(F.col("branch_a_score") - F.col("branch_b_score")))
         .alias("branch_divergence_mean"),
@@ -27,6 +32,8 @@ def performance_metrics(scored: DataFrame) -> DataFrame:
         F.stddev_samp("ensemble_risk_score").alias("risk_score_std"),
         F.percentile(score, F.lit(0.9)).alias("risk_score_p90"),
         F.count("*").alias("n_scored"))
+    known = F.lit(None).cast("double") if f1 is None else f1.select("f1_macro").scalar()
+    return row.withColumn("f1_macro_vs_groundtruth", known)
 
 
 def monitoring_summary(report: DataFrame, performance: DataFrame) -> DataFrame:

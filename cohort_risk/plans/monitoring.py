@@ -32,11 +32,11 @@ def monitoring_run(features: DataFrame, scored: DataFrame, baseline: DataFrame,
     """
     report = stored(drift.detect_drift(drift.long_features(features, monitored), baseline, rules),
                     "drift_report")
-    performance = stored(monitor.performance_metrics(scored), "performance")
     f1 = None
     if truth is not None:
         labelled = monitor.with_truth(scored, truth, truth_order)
-        f1 = metrics.macro_f1(labelled, "true_label", "predicted_class")
+        f1 = stored(metrics.macro_f1(labelled, "true_label", "predicted_class"), "f1")
+    performance = stored(monitor.performance_metrics(scored, f1), "performance")
     decision = monitor.retrain_decision(report, f1, reference_f1, force, rules)
     return MonitoringRun(report, performance, monitor.monitoring_summary(report, performance),
                          stored(decision, "decision"))
