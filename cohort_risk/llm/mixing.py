@@ -52,8 +52,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     goals = {}
     for dimension, goal in targets.items():
         present = cells.select(dimension).distinct().join(goal, dimension)
-        goals[dimension] = stored(present.crossJoin(present.agg(F.sum("goal").alias("all")))
-                                  .select(dimension, (F.col("goal") / F.col("all") * total).alias("goal")), "goals")
+        whole = present.agg(F.sum("goal")).first()[0]
+        goals[dimension] = stored(
+            present.select(dimension, (F.col("goal") / whole * total).alias("goal")), "goals")
     for _ in range(rounds):
         for dimension, goal in goals.items():
             now = cells.groupBy(dimension).agg(F.sum(F.col("tokens") * F.col("multiplier")).alias("now"))
