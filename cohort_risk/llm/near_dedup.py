@@ -13,7 +13,7 @@ shingles that a single one of these texts has can't be shared, which bounds the
 any other: texts that can't reach the threshold leave the bucket. The rest are compared with a
 leader, the text with the fewest shingles of its own; where two texts have an odd and an even
 number of shingles in a hash group, one of them is not shared, and few pairs pass that bound by
-accident. Only buckets whose members then belong to
+accident. A pair counts only in the first bucket that it shares. Only buckets whose members then belong to
 several classes are compared further, with more leaders each round, until every pair that could
 still join two classes has been compared. Each comparison is of the exact shingles.
 """
@@ -246,7 +246,9 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     least = known.groupBy("bucket").agg(F.min("n").alias("least"))
     left = stored(known.join(least, "bucket").filter(
         (F.col("n") - F.col("own")) >= part * (F.col("n") + F.greatest("least", similarity * F.col("n"))) - 1e-9)
-        .drop("least").join(profiles.select("id", "profile"), "id"), "comparable")
+        .drop("least"), "comparable")
+    lists = left.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # one per band at most
+    left = stored(left.join(lists, "id").join(profiles.select("id", "profile"), "id"), "comparable")
     labels = left.select("id", F.col("id").alias("class")).distinct()
     leaders = 1
     while True:
@@ -258,11 +260,12 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             break
         order = Window.partitionBy("bucket").orderBy("own", "id")
         chosen = stored(placed.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders).select(
-            "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile"))), "leaders")
+            "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile", "buckets"))), "leaders")
         pairs = (placed.join(chosen, "bucket").filter(
             (F.col("class") != F.col("class_a")) & (F.col("id") != F.col("id_a"))
             & ((F.col("n") + F.col("n_a") - _apart_at_least("profile", "profile_a")) / 2
-               >= part * (F.col("n") + F.col("n_a")) - 1e-9))
+               >= part * (F.col("n") + F.col("n_a")) - 1e-9)
+            & (F.array_min(F.array_intersect("buckets", "buckets_a")) == F.col("bucket")))
             .select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
         labels = components(_alike(pairs, texts, similarity), labels)
         left = placed.drop("class").join(
