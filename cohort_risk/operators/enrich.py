@@ -105,6 +105,10 @@ def join_context(ind: DataFrame, pop_wide: DataFrame | None, env_wide: DataFrame
     if pop_wide is None and env_wide is None:
         return ind
     keys = [c for c in TIER1_KEYS if c in ind.columns]
+    if ind.isStreaming:  # a stream can't be made distinct before a join: look up every row
+        out = ind if pop_wide is None else _resolve(
+            ind.drop(*population_features(pop_wide)), pop_wide, tiers or Tiers.of(pop_wide), tier)
+        return out if env_wide is None else out.join(env_wide, "country_iso3", "left")
     found = ind.select(*keys).distinct()
     if pop_wide is not None:
         found = _resolve(found, pop_wide, tiers or Tiers.of(pop_wide), tier)
