@@ -23,8 +23,9 @@ from pyspark.sql.window import Window
 
 from cohort_risk.llm.bpe import slices
 
-#: Labelled documents of each class that are learned from, and the longest of them.
-SAMPLE_ROWS, ROW_CHARS = 1_500, 8_000
+#: Labelled documents of each class that are learned from, and the longest of them. Up to 1,000
+#: rows Spark limits each task's share before the shuffle.
+SAMPLE_ROWS, ROW_CHARS = 1_000, 8_000
 #: Documents of the sample that a feature must occur in.
 LEAST_DOCS = 6
 #: Logit of a sentence without evidence; steps, step size and sparsity of the fit.
