@@ -40,29 +40,37 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     return stored(model.transform(ind, with_target=True), "features")
 
 
-def _train(df: DataFrame, branch: str, kernel=None, cv=False) -> training.BranchResult:
-    features = C.BRANCH_A_FEATURES if branch == "A" else C.BRANCH_B_FEATURES
-    return training.train_branch(df, branch, features, ["patient_id", "seq"],
-                                 FOREST, kernel, cv=cv)
+def _features(branch: str) -> list[str]:
+    return C.BRANCH_A_FEATURES if branch == "A" else C.BRANCH_B_FEATURES
+
+
+def _train(df: DataFrame, branch: str, cv=True) -> training.BranchResult:
+    """Both models of a branch; ``cv=False`` where nothing reads fold scores."""
+    return training.train_branch(df, branch, _features(branch), ["patient_id", "seq"],
+                                 FOREST, KERNEL, cv=cv)
 
 
 @register("train_branch_forest")
 def train_branch_forest(spark, sf):
-    """Gini importances of the forest of branch A."""
-    return _train(enriched(spark, sf), "A").importances
+    """Gini importances of the forests of both branches."""
+    df = enriched(spark, sf)
+    a, b = (_train(df, branch, cv=False).importances for branch in ("A", "B"))
+    return a.unionByName(b)
 
 
 @register("train_branch_kernel")
 def train_branch_kernel(spark, sf):
-    """Hold-out metrics of both models of branch B."""
-    return _train(enriched(spark, sf), "B", KERNEL).metrics
+    """Hold-out metrics of both models of both branches, with means and deviations of the folds."""
+    df = enriched(spark, sf)
+    a, b = (_train(df, branch).metrics for branch in ("A", "B"))
+    return a.unionByName(b)
 
 
 @register("score_with_models")
 def score_with_models(spark, sf):
-    """Features, forests, ensemble, gates."""
+    """Features, the primary model of each branch, ensemble, gates."""
     df = enriched(spark, sf)
-    models = [_train(df, b).model for b in ("A", "B")]
+    models = [_train(df, b, cv=False).model for b in ("A", "B")]
     return score.score(df, *models, F.lit(SCORED_AT).cast("timestamp"))
 
 
@@ -93,11 +101,16 @@ def standardize(spark, sf):
 
 @register("cross_validation")
 def cross_validation(spark, sf):
-    """Macro F1 of the forest of branch B per fold."""
-    rows = training.training_rows(enriched(spark, sf), C.BRANCH_B_FEATURES, ["patient_id", "seq"])
-    scores = training.cross_validate(
-        rows, lambda part: training.fit_forest(part, C.BRANCH_B_FEATURES, FOREST))
-    return spark.createDataFrame(list(enumerate(scores)), "fold int, f1_macro double")
+    """Macro F1 of both models of both branches per fold."""
+    df, found = enriched(spark, sf), []
+    for branch in ("A", "B"):
+        names = _features(branch)
+        rows = training.training_rows(df, names, ["patient_id", "seq"])
+        fits = {training.FOREST: lambda part: training.fit_forest(part, names, FOREST),
+                training.KERNEL: lambda part: training.fit_kernel(part, names, KERNEL)}
+        for name, fit in fits.items():
+            found += [(branch, name, i, f1) for i, f1 in enumerate(training.cross_validate(rows, fit))]
+    return spark.createDataFrame(found, "branch string, model string, fold int, f1_macro double")
 
 
 # --- tables ------------------------------------------------------------------------
@@ -267,9 +280,9 @@ def stream_score(spark, sf):
     """Individuals as a stream, scored with static models and lookups."""
     model, ind = fitted(spark, sf)
     table = stored(model.transform(ind, with_target=True), "features")
-    forest = _train(table, "A").model
+    models = [_train(table, b, cv=False).model for b in ("A", "B")]
     landing = shared_dir(spark, "individuals")
     ind.write.parquet(landing)
     stream = spark.readStream.schema(ind.schema).parquet(landing)
-    out = readings.scored_stream(stream, model, forest, None, F.lit(SCORED_AT).cast("timestamp"))
+    out = readings.scored_stream(stream, model, *models, F.lit(SCORED_AT).cast("timestamp"))
     return _drain(spark, out)
