@@ -261,6 +261,17 @@ def stream_env_mean(spark, sf):
                       "n_values")
 
 
+@register("stream_env_mean_all", q.with_ctes({"env": fx.ENVIRONMENT}, """
+  SELECT strftime(date_trunc('day', measured_at), '%Y-%m-%d %H:%M:%S') AS window_start, country_iso3, parameter, round(avg(value), 8) AS mean_value, count(value) AS n_values
+  FROM env GROUP BY ALL"""))
+def stream_env_mean_all(spark, sf):
+    """All windows over all readings, also windows still open and readings that come late."""
+    landed = _drain(spark, readings.landed_readings(_reading_stream(spark, sf)))
+    return readings.current_means(landed).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "country_iso3", "parameter", F.round("mean_value", 8).alias("mean_value"), "n_values")
+
+
 @register("stream_dedup", """SELECT DISTINCT concat('s', user_id % 50) AS location_id,
   CASE event_id % 4 WHEN 0 THEN 'pm25' WHEN 1 THEN 'pm10' WHEN 2 THEN 'no2' ELSE 'o3' END AS parameter,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS measured_at, microsecond(ts) AS us FROM events JOIN nation ON user_id % 25 = n_nationkey""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,6 +54,39 @@ def windowed_means(readings: DataFrame, window: str = "1 day", delay: str = "1 h
                     "country_iso3", "parameter", "mean_value", "n_values"))
 
 
+def landed_readings(readings: DataFrame, window: str = "1 day") -> DataFrame:
+    """Every reading with its window and the time of its micro-batch, for an append sink.
+
+    ``landed_at`` is fixed in the checkpoint, so a batch that is repeated has the same.
+    """
+    return readings.select(
+        "country_iso3", "parameter", "value", "measured_at",
+        F.window("measured_at", window).alias("window"),
+        F.current_timestamp().alias("landed_at")).withColumns(
+        {"window_start": F.col("window.start"), "window_end": F.col("window.end")}).drop("window")
+
+
+def current_means(landed: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Mean reading of every window over all readings that have landed.
+
+    A window is ``provisional`` until the watermark has passed its end. ``n_late`` counts the
+    readings, with or without a value, that landed after the watermark of the batches before
+    theirs had passed their window; they are in the mean.
+    """
+    late_by = F.expr(f"INTERVAL {delay}")
+    batches = landed.groupBy("landed_at").agg(F.max("measured_at").alias("newest"))
+    before = Window.orderBy("landed_at").rowsBetween(Window.unboundedPreceding, -1)  # a row per micro-batch
+    marks = batches.select("landed_at", (F.max("newest").over(before) - late_by).alias("watermark"))
+    last = batches.agg((F.max("newest") - late_by).alias("last_watermark"))
+    late = F.coalesce(F.col("window_end") <= F.col("watermark"), F.lit(False))
+    keys = ["window_start", "window_end", "country_iso3", "parameter"]
+    means = (landed.join(marks, "landed_at").groupBy(*keys)
+             .agg(F.avg("value").alias("mean_value"), F.count("value").alias("n_values"),
+                  F.count_if(late).alias("n_late")))
+    return means.crossJoin(last).withColumn(
+        "provisional", F.col("window_end") > F.col("last_watermark")).drop("last_watermark")
+
+
 def scored_stream(individuals: DataFrame, features: FeatureModel, model_a: BranchModel | None,
                   model_b: BranchModel | None, scored_at: Column) -> DataFrame:
     """Score a stream of individuals with fitted models and static lookups."""

@@ -1,10 +1,12 @@
 """Registered queries give all of their results, not a part of them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import run_checks
 from cohort_risk import config as C
 from cohort_risk.plans import training
+from cohort_risk.streaming import readings
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +40,21 @@ def test_scoring_uses_the_primary_models(spark, small, monkeypatch):
         asked.clear()
         assert query(spark, SF).count() > 0
         assert asked == [("A", training.KERNEL, True), ("B", training.KERNEL, True)]
+
+
+def test_open_windows_and_late_readings_are_published(spark, tmp_path):
+    schema = "country_iso3 string, parameter string, value double, measured_at timestamp"
+    source = str(tmp_path / "in")
+
+    def published(*rows):
+        df = spark.createDataFrame([("A", "pm25", v, t) for v, t in rows], schema.replace("timestamp", "string"))
+        df.withColumn("measured_at", F.to_timestamp("measured_at")).coalesce(1).write.mode("append").parquet(source)
+        stream = readings.landed_readings(spark.readStream.schema(schema).parquet(source))
+        readings.append_to(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        got = readings.current_means(spark.read.parquet(str(tmp_path / "out"))).collect()
+        return sorted((r["window_start"].strftime("%d"), r["mean_value"], r["n_late"], r["provisional"]) for r in got)
+
+    assert published((1.0, "2024-01-01 10:00:00"), (3.0, "2024-01-01 12:00:00"), (5.0, "2024-01-02 05:00:00")) == [
+        ("01", 2.0, 0, False), ("02", 5.0, 0, True)]
+    assert published((101.0, "2024-01-01 13:00:00"), (7.0, "2024-01-03 09:00:00")) == [
+        ("01", 35.0, 1, False), ("02", 5.0, 0, False), ("03", 7.0, 0, True)]
