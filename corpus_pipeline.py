@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that sources, languages and forms meet tempered weights."""
-    return mixing.weigh(docs).filter("sampled").select("row.*")
+    return mixing.weigh(docs, calibrated=True).filter("sampled").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
