@@ -51,4 +51,43 @@ included in all copies or substantial portions of the Software.""" + _NO_WARRANT
     "MPL-2.0 header": """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
 MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "MPL-1.1 notice": "The contents of this file are subject to the Mozilla Public License Version 1.1.",
+    "Apache-1.1 notice": "Licensed under the Apache License, Version 1.1.",
+    "BSD notice": "Released under the BSD License.",
+    "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0 notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-4.0 long notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-4.0 short notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 short notice": "Licensed under CC BY-SA 4.0.",
 }
+
+# Siblings that differ from a template in its name or version.
+for _name, _from, _changes in (
+        ("GPL-2.0", "GPL-3.0", {"version 3": "version 2"}),
+        ("LGPL-3.0", "GPL-3.0", {"GNU\nGeneral": "GNU Lesser General", "GNU General": "GNU Lesser General"}),
+        ("LGPL-2.1", "LGPL-3.0", {"version 3": "version 2.1"}),
+        ("AGPL-3.0", "GPL-3.0", {"GNU\nGeneral": "GNU Affero General", "GNU General": "GNU Affero General"})):
+    for _kind in ("notice", "header"):
+        _text = TEMPLATES[f"{_from} {_kind}"]
+        for _old, _new in _changes.items():
+            _text = _text.replace(_old, _new)
+        TEMPLATES[f"{_name} {_kind}"] = _text
+
+#: Runs of words that have to be in a hit as they are: the license's name and version.
+REQUIRED = {
+    "Apache-2.0 notice": ("apache", "2.0"), "Apache-2.0 header": ("apache", "2.0"),
+    "Apache-1.1 notice": ("apache", "1.1"), "BSD notice": ("bsd",), "MIT notice": ("mit",),
+    "CC-BY-4.0 notice": ("creative commons attribution", "4.0"),
+    "CC-BY-SA-4.0 notice": ("creative commons attribution", "sharealike", "4.0"),
+    "CC-BY-ND-4.0 notice": ("creative commons attribution", "noderivatives", "4.0"),
+    "CC-BY-NC-4.0 long notice": ("creative commons attribution", "noncommercial", "4.0"),
+    "CC-BY-4.0 short notice": ("cc by", "4.0"), "CC-BY-SA-4.0 short notice": ("cc by", "sa", "4.0"),
+    "CC-BY-NC-4.0 notice": ("cc by", "nc", "4.0"),
+    "MPL-2.0 header": ("mozilla", "2.0"), "MPL-1.1 notice": ("mozilla", "1.1"),
+    **{f"{_name} {_kind}": ("gnu", *_words) for _kind in ("notice", "header") for _name, _words in (
+        ("GPL-2.0", ("2",)), ("GPL-3.0", ("3",)), ("LGPL-2.1", ("lesser", "2.1")),
+        ("LGPL-3.0", ("lesser", "3")), ("AGPL-3.0", ("affero", "3")))},
+}
+
+#: Words that make another license of one with required words, unless its template has them.
+VARIANTS = "sharealike share alike noncommercial commercial noderivatives noderivs derivatives nc nd sa lesser affero"
