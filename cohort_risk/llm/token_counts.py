@@ -50,7 +50,10 @@ def lengths(path: str, texts: list[str]) -> list[int]:
 
 def frequent(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id",
              sample_rows: int = SAMPLE_ROWS, table_size: int = TABLE_SIZE) -> dict[str, int]:
-    """Lengths of pre-tokens that tasks have met often; at most ``table_size`` entries."""
+    """Lengths of pre-tokens that tasks have met often; at most ``table_size`` entries.
+
+    What the tasks have met is added up by word, from the bounded sample alone.
+    """
     rows = df.count()
     share = min(1.0, sample_rows / max(rows, 1))
     sample = df.filter(
@@ -67,12 +70,10 @@ def frequent(df: DataFrame, path: str, text_col: str = "text", id_col: str = "do
             [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
             ["word", "n"])
 
-    total: Counter = Counter()
     best = (sample.select(text_col).mapInArrow(count, "word string, n bigint")
+            .groupBy("word").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "word").limit(table_size))
-    for word, n in best.collect():
-        total[word] += n
-    words = [w for w, _ in total.most_common(table_size)]
+    words = [row["word"] for row in best.collect()]
     return dict(zip(words, lengths(path, [" " + w for w in words]))) if words else {}
 
 
