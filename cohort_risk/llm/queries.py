@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_risk.llm import bpe, dedup, langid, licenses, mixing, near_dedup, quality, secrets, token_counts, toxicity
+from cohort_risk.llm import (bpe, dedup, filter_audit, fingerprints, langid, licenses, mixing, near_dedup, quality,
+                             secrets, token_counts, toxicity, whitening)
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Tokens that a model's context holds.
@@ -120,3 +121,65 @@ ORACLES["op9_mixing"] = mixing.oracle()
 @register
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir))
+
+
+@register
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@register
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+# Counted directly, document by document, not by potentials: a filter's removals summed over
+# all 120 orders are 120 / k for each document that fails it and k filters in all.
+ORACLES["op13_filter_audit"] = r"""
+WITH RECURSIVE perms(p) AS (
+  SELECT l FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l)
+  UNION ALL
+  SELECT p || l FROM perms, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l)
+  WHERE length(p) < 5 AND strpos(p, l) = 0),
+steps AS (
+  SELECT p AS filter_order, s AS step, substr(p, s, 1) AS letter, substr(p, 1, s - 1) AS before
+  FROM perms, range(1, 6) r(s) WHERE length(p) = 5),
+d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(CAST(lang AS VARCHAR), '') AS part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part,
+         len(words) < 100 AS fa,
+         100 * len(list_distinct(words)) < 80 * len(words) AS fb,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS fc,
+         regexp_matches(t, '[#$%&*|]') AS fd,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS fe,
+         coalesce(lab.good, false) AS good, coalesce(lab.toxic, false) AS toxic
+  FROM d LEFT JOIN lab USING (doc_id)),
+c AS (SELECT part, fa, fb, fc, fd, fe, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+x AS (
+  SELECT c.*, s.filter_order, s.step, s.letter,
+         (strpos(s.before, 'A') > 0 AND fa) OR (strpos(s.before, 'B') > 0 AND fb)
+           OR (strpos(s.before, 'C') > 0 AND fc) OR (strpos(s.before, 'D') > 0 AND fd)
+           OR (strpos(s.before, 'E') > 0 AND fe) AS gone,
+         CASE s.letter WHEN 'A' THEN fa WHEN 'B' THEN fb WHEN 'C' THEN fc WHEN 'D' THEN fd ELSE fe END AS fails,
+         fa::int + fb::int + fc::int + fd::int + fe::int AS k
+  FROM c, steps s)
+SELECT part, filter_order, step, letter,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (WHERE fails AND k = 1), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fails AND good), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fails AND toxic), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * (120 // greatest(k, 1))) FILTER (WHERE fails), 0) AS BIGINT) AS shapley
+FROM x GROUP BY part, filter_order, step, letter
+"""
