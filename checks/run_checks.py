@@ -105,11 +105,10 @@ def cross_validation(spark, sf):
     df, found = enriched(spark, sf), []
     for branch in ("A", "B"):
         names = _features(branch)
-        rows = training.training_rows(df, names, ["patient_id", "seq"])
-        fits = {training.FOREST: lambda part: training.fit_forest(part, names, FOREST),
-                training.KERNEL: lambda part: training.fit_kernel(part, names, KERNEL)}
-        for name, fit in fits.items():
-            found += [(branch, name, i, f1) for i, f1 in enumerate(training.cross_validate(rows, fit))]
+        prep = training.prepare(training.training_rows(df, names, ["patient_id", "seq"]), names, KERNEL)
+        scores = training.cross_validate_prepared(prep, [training.FOREST, training.KERNEL], FOREST, KERNEL)
+        for name, f1s in scores.items():
+            found += [(branch, name, i, f1) for i, f1 in enumerate(f1s)]
     return spark.createDataFrame(found, "branch string, model string, fold int, f1_macro double")
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,10 @@ from cohort_risk.session import stored
 
 WEIGHT = "class_weight"
 FOREST, KERNEL = "forest", "kernel"
+#: Fits that run at once; each is a sequence of small jobs that alone leaves cores idle.
+PARALLEL_FITS = 6
+#: Rounds of tree growth between checkpoints of the cached node ids.
+NODE_CHECKPOINT = 10
 
 
 def _features(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -139,6 +145,55 @@ def fit_kernel(train: DataFrame, features: Sequence[str], params: C.KernelParams
     return KernelModel(list(features), scaler, model, params)
 
 
+@dataclass
+class Prepared:
+    """Rows of a branch with scaled (and mapped) inputs, stored once for every fit.
+
+    The scaler is fitted on the training rows (not the hold-out) and serves all folds: a
+    forest's splits don't change under a per-feature affine map, and the kernel's inputs
+    differ from a per-fold scaler by the fold's share of the mean and deviation only.
+    """
+
+    rows: DataFrame
+    scaler: PipelineModel
+    features: list[str]
+    kernel: C.KernelParams | None
+
+
+def prepare(rows: DataFrame, features: Sequence[str], kernel: C.KernelParams | None = None) -> Prepared:
+    scaler = _scaler(features).fit(_features(rows.filter(~F.col("is_test")), features))
+    out = scaler.transform(_features(rows, features))
+    if kernel:
+        udf = random_features(len(features), kernel)
+        out = out.withColumn("__mapped", array_to_vector(udf(vector_to_array("__scaled"))))
+    keep = [c for c in out.columns if c not in features and c != "__raw" and not c.startswith("__x_")]
+    return Prepared(stored(out.select(*keep), "prepared"), scaler, list(features), kernel)
+
+
+def _estimator(name: str, forest: C.ForestParams, kernel: C.KernelParams | None, label: str):
+    if name == FOREST:
+        return RandomForestClassifier(
+            featuresCol="__scaled", labelCol=label, weightCol=WEIGHT, numTrees=forest.num_trees,
+            maxDepth=forest.max_depth, minInstancesPerNode=forest.min_instances,
+            featureSubsetStrategy=forest.subset, seed=forest.seed,
+            cacheNodeIds=True, checkpointInterval=NODE_CHECKPOINT)
+    return LogisticRegression(
+        featuresCol="__mapped", labelCol=label, weightCol=WEIGHT, family="multinomial",
+        regParam=kernel.reg, maxIter=kernel.max_iter, standardization=False)
+
+
+def _wrapped(prep: Prepared, name: str, fitted) -> ForestModel | KernelModel:
+    if name == FOREST:
+        return ForestModel(prep.features, PipelineModel(stages=[*prep.scaler.stages, fitted]))
+    return KernelModel(prep.features, prep.scaler, fitted, prep.kernel)
+
+
+def concurrently(calls: Sequence[Callable[[], object]], parallel: int = PARALLEL_FITS) -> list:
+    """Results of ``calls``, run as concurrent Spark jobs from threads that keep the job settings."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(calls)))) as pool:
+        return list(pool.map(lambda call: inheritable_thread_target(call)(), calls))
+
+
 def with_probabilities(predicted: DataFrame, branch: str) -> DataFrame:
     """Class probabilities as columns; classes a model never saw get 0."""
     p = vector_to_array("probability")
@@ -195,8 +250,12 @@ def training_rows(df: DataFrame, features: Sequence[str], ids: Sequence[str],
 def evaluate(model: ForestModel | KernelModel, rows: DataFrame, branch: str, name: str,
              label: str = C.TARGET) -> DataFrame:
     """Hold-out metrics ``(branch, model, metric, value)``; scoring runs once."""
-    predicted = with_probabilities(
-        model.predict(rows).withColumn("pred", F.col("prediction").cast("int")), "p")
+    return evaluate_predicted(model.predict(rows), branch, name, label)
+
+
+def evaluate_predicted(predicted: DataFrame, branch: str, name: str, label: str = C.TARGET) -> DataFrame:
+    """Hold-out metrics of rows that carry ``probability`` and ``prediction``."""
+    predicted = with_probabilities(predicted.withColumn("pred", F.col("prediction").cast("int")), "p")
     kept = stored(predicted.select(label, "pred", *[f"p_{c}" for c in CLASSES]), "predictions")
     overall = metrics.macro_f1(kept, label, "pred")
     long = overall.select(F.col("accuracy"), F.col("f1_macro"),
@@ -222,6 +281,35 @@ def cross_validate(rows: DataFrame, fit, k: int = C.CV_FOLDS, label: str = C.TAR
     return scores
 
 
+def fold_calls(prep: Prepared, names: Sequence[str], forest: C.ForestParams,
+               kernel: C.KernelParams | None, k: int = C.CV_FOLDS, label: str = C.TARGET):
+    """``(name, fold)`` and a call giving its macro F1, for every model and fold."""
+    def fold_f1(name: str, i: int) -> Callable[[], float]:
+        def run() -> float:
+            model = _estimator(name, forest, kernel, label).fit(prep.rows.filter(F.col("fold") != i))
+            predicted = model.transform(prep.rows.filter(F.col("fold") == i)).withColumn(
+                "pred", F.col("prediction").cast("int"))
+            return metrics.macro_f1(predicted, label, "pred").first()["f1_macro"]
+        return run
+    jobs = [(name, i) for name in names for i in range(k)]
+    return jobs, [fold_f1(name, i) for name, i in jobs]
+
+
+def cross_validate_prepared(prep: Prepared, names: Sequence[str], forest: C.ForestParams,
+                            kernel: C.KernelParams | None, k: int = C.CV_FOLDS,
+                            label: str = C.TARGET) -> dict[str, list[float]]:
+    """Macro F1 per model and fold, all fits concurrent over the one prepared frame."""
+    jobs, calls = fold_calls(prep, names, forest, kernel, k, label)
+    return _by_model(jobs, concurrently(calls))
+
+
+def _by_model(jobs, scores) -> dict[str, list[float]]:
+    out: dict[str, list[float]] = {}
+    for (name, _), f1 in zip(jobs, scores):
+        out.setdefault(name, []).append(f1)
+    return out
+
+
 def cv_summary(scores: Sequence[float]) -> dict[str, float]:
     """Mean and population standard deviation over the folds."""
     return {"cv_mean": round(float(np.mean(scores)), 4), "cv_std": round(float(np.std(scores)), 4)}
@@ -242,18 +330,23 @@ def train_branch(df: DataFrame, branch: str, features: Sequence[str], ids: Seque
     """Train on 80 % of each class, evaluate on the rest, pick the primary model."""
     spark = df.sparkSession
     present = [c for c in features if c in df.columns]
-    rows = training_rows(df, present, ids, label)
-    train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
-    fits = {FOREST: lambda part: fit_forest(part, present, forest, label)}
-    if kernel:
-        fits[KERNEL] = lambda part: fit_kernel(part, present, kernel, label)
-    models, report, folds_f1 = {}, None, {}
-    for name, fit in fits.items():
-        models[name] = fit(train)
-        part = evaluate(models[name], test, branch, name, label)
+    prep = prepare(training_rows(df, present, ids, label), present, kernel)
+    names = [FOREST, KERNEL] if kernel else [FOREST]
+    train, test = prep.rows.filter(~F.col("is_test")), prep.rows.filter("is_test")
+
+    def final(name: str) -> Callable[[], ForestModel | KernelModel]:
+        return lambda: _wrapped(prep, name, _estimator(name, forest, kernel, label).fit(train))
+
+    # the final models and all folds of both models at once
+    jobs, calls = fold_calls(prep, names, forest, kernel, label=label) if cv else ([], [])
+    done = concurrently([final(name) for name in names] + calls)
+    models = dict(zip(names, done))
+    folds_f1 = _by_model(jobs, done[len(names):])
+    report = None
+    for name in names:
+        own = models[name].pipeline.stages[-1] if name == FOREST else models[name].classifier
+        part = evaluate_predicted(own.transform(test), branch, name, label)
         report = part if report is None else report.unionByName(part)
-        if cv:
-            folds_f1[name] = cross_validate(rows, fit, label=label)
     if folds_f1:
         lines = [(branch, name, metric, value) for name, scores in folds_f1.items()
                  for metric, value in cv_summary(scores).items()]
