@@ -43,26 +43,62 @@ _BLOCK = 1 << 15
 EMPTY = "ffffffff" * HASHES
 
 
-def phrases(text: str) -> list[int]:
-    """Hashes of the LZ78 phrases of ``text``, one for each distinct phrase.
-
-    The last phrase may repeat an earlier one; it is then not new and adds nothing.
-    """
-    trie: dict[int, int] = {}
-    hashes = [0]
-    node = 0
+def _parse(text: str, trie: dict[int, int], hashes: list[int], node: int) -> int:
+    """Goes on parsing from ``node``; new phrases join ``trie`` and ``hashes``. Returns the open node."""
+    get = trie.get
+    add = hashes.append
     for cp in map(ord, text):
         key = (node << 21) | cp
-        child = trie.get(key)
+        child = get(key)
         if child is None:
             trie[key] = len(hashes)
-            hashes.append((hashes[node] * BASE + cp + 1) % PRIME)
+            add((hashes[node] * BASE + cp + 1) % PRIME)
             node = 0
         else:
             node = child
+    return node
+
+
+def phrases(text: str) -> list[int]:
+    """Hashes of the LZ78 phrases of ``text``, one for each distinct phrase.
+
+    The last phrase may repeat an earlier one; it is then not new and adds nothing.
+    """
+    hashes = [0]
+    _parse(text, {}, hashes, 0)
     return hashes[1:]
 
 
+def _signature_of(hashes: list[int]) -> np.ndarray:
+    found = np.asarray(hashes, dtype=np.uint64)
+    least = np.full(HASHES, np.uint64(_MASK), dtype=np.uint64)
+    for at in range(0, len(found), _BLOCK):
+        block = found[at:at + _BLOCK]
+        least = np.minimum(least, _mix(block[:, None] ^ _SEEDS[None, :]).min(axis=0))
+    return (least >> np.uint64(32)).astype(np.uint32)
+
+
+def _hex(signature_: np.ndarray) -> str:
+    return signature_.astype(">u4").tobytes().hex()
+
+
+def pair(text: str, following: str) -> tuple[str, str, str]:
+    """Fingerprints of ``text`` and of its edit by ``following``, and the edited text.
+
+    An LZ78 parse is decided left to right, so both parses are one up to the cut: it is
+    parsed once, and the state is copied for the two different ends.
+    """
+    cut = len(text) // 4
+    keep = len(text) - cut
+    trie, hashes = {}, [0]
+    node = _parse(text[:keep], trie, hashes, 0)
+    other_trie, other_hashes = dict(trie), list(hashes)
+    _parse(text[keep:], trie, hashes, node)
+    _parse(following[:cut], other_trie, other_hashes, node)
+    return (_hex(_signature_of(hashes[1:])), text[:keep] + following[:cut],
+            _hex(_signature_of(other_hashes[1:])))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on unsigned 64-bit integers."""
     with np.errstate(over="ignore"):
@@ -73,16 +109,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def signature(text: str) -> np.ndarray:
     """``HASHES`` minima, each of the upper 32 bits of one mix of the phrase hashes."""
-    found = np.asarray(phrases(text), dtype=np.uint64)
-    least = np.full(HASHES, np.uint64(_MASK), dtype=np.uint64)
-    for at in range(0, len(found), _BLOCK):
-        block = found[at:at + _BLOCK]
-        least = np.minimum(least, _mix(block[:, None] ^ _SEEDS[None, :]).min(axis=0))
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return _signature_of(phrases(text))
 
 
 def fingerprint(text: str) -> str:
-    return signature(text).astype(">u4").tobytes().hex()
+    return _hex(signature(text))
 
 
 def likeness(a: str, b: str) -> float:
@@ -107,13 +138,11 @@ _OUT = T.StructType([
 ])
 
 
-def _finished(doc_id, text: str, own: str, following: str, following_fp: str) -> dict:
-    edited = edit(text, following)
-    edited_fp = fingerprint(edited)
+def _row(doc_id, text: str, own: str, edited_text: str, edited_fp: str, following_fp: str) -> dict:
     return {"kind": "row", "doc_id": doc_id, "n_chars": len(text),
-            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "fingerprint": own,
+            "edited_sha256": hashlib.sha256(edited_text.encode()).hexdigest(), "fingerprint": own,
             "edited_fingerprint": edited_fp, "near_edited": likeness(own, edited_fp),
-            "near_next": likeness(own, following_fp), "text": None}
+            "near_next": likeness(own, following_fp)}
 
 
 def _frame(records: list[dict]) -> pd.DataFrame:
@@ -131,37 +160,46 @@ def _frame(records: list[dict]) -> pd.DataFrame:
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one task in order; each is finished when its successor is seen.
+    """Rows of one task in order, two steps behind: a row is parsed with its successor's
+    text, and finished with its successor's fingerprint.
 
     Emits the first row of the task (kind ``first``) and its last (kind ``last``) with
-    their texts, for the rows of neighbouring tasks.
+    their texts and fingerprints, for the rows of neighbouring tasks.
     """
-    held = None
+    held = None  # (id, text): waits for the next text
+    parsed = None  # (id, text, own, edited text, edited fingerprint): waits for the next fingerprint
     part = None
     for batch in batches:
         out = []
         for part, doc_id, text in zip(batch["part"], batch["doc_id"], batch["text"]):
-            own = fingerprint(text)
-            if held is None:
-                out.append({"kind": "first", "doc_id": doc_id, "fingerprint": own, "text": text,
-                            "part": int(part)})
-            else:
-                out.append(_finished(*held, text, own) | {"part": int(part)})
-            held = (doc_id, text, own)
+            if held is not None:
+                own, edited_text, edited_fp = pair(held[1], text)
+                if parsed is None:
+                    out.append({"kind": "first", "doc_id": held[0], "fingerprint": own, "text": held[1],
+                                "part": int(part)})
+                else:
+                    out.append(_row(*parsed, own) | {"part": int(part)})
+                parsed = (held[0], held[1], own, edited_text, edited_fp)
+            held = (doc_id, text)
         if out:
             yield _frame(out)
     if held is not None:
-        doc_id, text, own = held
-        yield _frame([{"kind": "last", "doc_id": doc_id, "fingerprint": own, "text": text, "part": int(part)}])
+        own = fingerprint(held[1])
+        out = [{"kind": "first", "doc_id": held[0], "fingerprint": own, "text": held[1]}] if parsed is None \
+            else [_row(*parsed, own)]
+        out.append({"kind": "last", "doc_id": held[0], "fingerprint": own, "text": held[1]})
+        yield _frame([r | {"part": int(part)} for r in out])
 
 
 def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Finishes the last row of each task with the first row of the next task."""
     for batch in batches:
-        yield _frame([_finished(i, t, own, nt, nfp) | {"part": int(p)}
-                      for p, i, t, own, nt, nfp in zip(batch["part"], batch["doc_id"], batch["text"],
-                                                       batch["fingerprint"], batch["next_text"],
-                                                       batch["next_fingerprint"])])
+        rows = []
+        for p, i, t, own, nt, nfp in zip(batch["part"], batch["doc_id"], batch["text"], batch["fingerprint"],
+                                         batch["next_text"], batch["next_fingerprint"]):
+            edited_text = edit(t, nt)
+            rows.append(_row(i, t, own, edited_text, fingerprint(edited_text), nfp) | {"part": int(p)})
+        yield _frame(rows)
 
 
 def edited(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",

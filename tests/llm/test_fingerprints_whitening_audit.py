@@ -31,6 +31,13 @@ def test_phrases_of_a_known_parse():
     assert fingerprints.fingerprint("") == fingerprints.EMPTY
 
 
+@pytest.mark.parametrize("a, b", [("", ""), ("abc", ""), ("", "xyz"), ("abababab", "cdcd"),
+                                  (long_text(5, 2000), long_text(6, 10)), ("x" * 999, "y" * 9999)])
+def test_shared_parse_equals_two_parses(a, b):
+    edited = fingerprints.edit(a, b)
+    assert fingerprints.pair(a, b) == (fingerprints.fingerprint(a), edited, fingerprints.fingerprint(edited))
+
+
 def test_likeness_estimates_jaccard_of_phrase_sets():
     for seed in range(4):
         a = long_text(seed, 400)
