@@ -9,12 +9,12 @@ from checks import fixtures as fx
 from checks import scoring_checks as sc
 from checks import sqltext as q
 from checks import source_checks as src
-from checks.features_checks import clean_individuals, fitted
+from checks.features_checks import _FULL, clean_individuals, fitted
 from cohort_risk import config as C
 from cohort_risk.operators import drift, monitor, validate
 from cohort_risk.plans import monitoring, score, training
 from cohort_risk.session import shared_dir, stored
-from cohort_risk.sinks import tables
+from cohort_risk.sinks import runs, tables
 from cohort_risk.streaming import readings
 
 QUERIES = {}
@@ -66,6 +66,30 @@ def train_branch_kernel(spark, sf):
     return a.unionByName(b)
 
 
+def _class_counts_sql() -> str:
+    parts = []
+    for branch in ("A", "B"):
+        names = _features(branch)
+        complete = " AND ".join(f"{c} IS NOT NULL" for c in [C.TARGET, *names])
+        parts.append(f"""SELECT '{branch}' AS branch, CAST({len(names)} AS BIGINT) AS n_features,
+  '{",".join(names)}' AS features, CAST({C.TARGET} AS INT) AS class, count(*) AS n_rows
+FROM enriched WHERE {complete} GROUP BY {C.TARGET}""")
+    return q.with_ctes(_FULL, "\nUNION ALL\n".join(parts))
+
+
+@register("training_metadata", _class_counts_sql())
+def training_metadata(spark, sf):
+    """Class counts of both branches, read back from the newest committed training run."""
+    root = shared_dir(spark, "training-runs")
+    training.train_run(enriched(spark, sf), root, ["patient_id", "seq"], forest=FOREST, kernel=KERNEL)
+    manifest = runs.latest(spark, root)
+    shape = spark.createDataFrame(
+        [(b, m["n_features"], ",".join(m["features"])) for b, m in manifest["branches"].items()],
+        "branch string, n_features long, features string")
+    return runs.read_table(spark, root, manifest, "class_dist").join(shape, "branch").select(
+        "branch", "n_features", "features", "class", "n_rows")
+
+
 @register("score_with_models")
 def score_with_models(spark, sf):
     """Features, the primary model of each branch, ensemble, gates."""

@@ -28,6 +28,7 @@ from cohort_risk.functions import scalars as S
 from cohort_risk.operators import folds, metrics
 from cohort_risk.operators.scoring import CLASSES
 from cohort_risk.session import stored
+from cohort_risk.sinks import runs
 
 WEIGHT = "class_weight"
 FOREST, KERNEL = "forest", "kernel"
@@ -321,6 +322,7 @@ class BranchResult:
     metrics: DataFrame
     importances: DataFrame
     cv: dict[str, list[float]]
+    class_counts: dict[int, int] | None = None
 
 
 def train_branch(df: DataFrame, branch: str, features: Sequence[str], ids: Sequence[str],
@@ -359,4 +361,55 @@ def train_branch(df: DataFrame, branch: str, features: Sequence[str], ids: Seque
         [(branch, c, v) for c, v in models[FOREST].importances()],
         "branch string, feature string, importance double")
     model = BranchModel(branch, models[FOREST], models.get(KERNEL), primary)
-    return BranchResult(model, report, importances, folds_f1)
+    counts = {int(r[label]): int(r["n_rows"]) for r in folds.class_distribution(prep.rows, label).collect()}
+    return BranchResult(model, report, importances, folds_f1, counts)
+
+
+def _cv_entry(scores: Sequence[float]) -> dict:
+    return {**{k.removeprefix("cv_"): v for k, v in cv_summary(scores).items()},
+            "fold_scores": [round(float(f), 4) for f in scores]}
+
+
+def train_run(df: DataFrame, root: str, ids: Sequence[str],
+              branches: Sequence[tuple[str, Sequence[str]]] = (("A", C.BRANCH_A_FEATURES), ("B", C.BRANCH_B_FEATURES)),
+              forest: C.ForestParams = C.ForestParams(), kernel: C.KernelParams | None = C.KernelParams(),
+              label: str = C.TARGET) -> dict:
+    """Trains every branch, stores models, evaluation, importances and class counts as one run.
+
+    The run becomes visible when its manifest is committed, after all its tables: readers
+    of ``root`` (scoring, monitoring, the retraining rule) never see half a run.
+    """
+    spark = df.sparkSession
+    run_id = runs.new_run()
+    manifest = {"kind": "training", "class_names": C.CLASS_NAMES, "tables": [], "branches": {}}
+    counts = []
+    for branch, features in branches:
+        result = train_branch(df, branch, features, ids, forest, kernel, cv=True, label=label)
+        result.model.save(runs.table_path(root, run_id, f"model_{branch}"), spark)
+        for name, table in (("evaluation", result.metrics), ("importances", result.importances)):
+            runs.write_table(table, root, run_id, f"{name}_{branch}")
+            manifest["tables"].append(f"{name}_{branch}")
+        counts += [(branch, c, n) for c, n in sorted(result.class_counts.items())]
+        manifest["branches"][branch] = {
+            "features": result.model.forest.features, "n_features": len(result.model.forest.features),
+            "primary": result.model.primary, "model": f"model_{branch}",
+            "class_dist": {str(c): n for c, n in sorted(result.class_counts.items())},
+            "cv": {name: _cv_entry(scores) for name, scores in result.cv.items()}}
+    runs.write_table(spark.createDataFrame(counts, "branch string, class int, n_rows long"),
+                     root, run_id, "class_dist")
+    manifest["tables"].append("class_dist")
+    return runs.commit(spark, root, run_id, manifest)
+
+
+def reference_f1(manifest: dict) -> float:
+    """The retraining rule's reference: the largest forest CV mean over the branches."""
+    return max((b["cv"].get(FOREST, {}).get("mean", 0.0) for b in manifest["branches"].values()), default=0.0)
+
+
+def load_run(spark: SparkSession, root: str) -> dict[str, BranchModel] | None:
+    """Branch models of the newest committed run, or None."""
+    manifest = runs.latest(spark, root)
+    if manifest is None:
+        return None
+    return {b: BranchModel.load(runs.table_path(root, manifest["run_id"], m["model"]), spark)
+            for b, m in manifest["branches"].items()}
