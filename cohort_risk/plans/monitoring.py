@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 
 from cohort_risk import config as C
 from cohort_risk.operators import drift, metrics, monitor
+from cohort_risk.plans import training
 from cohort_risk.session import stored
+from cohort_risk.sinks import runs
 from cohort_risk.sinks.tables import append_log
 
 
@@ -25,11 +27,17 @@ def monitoring_run(features: DataFrame, scored: DataFrame, baseline: DataFrame,
                    reference_f1: float | None = None, truth: DataFrame | None = None,
                    truth_order: Sequence[str] = ("true_label",), force: bool = False,
                    monitored: Sequence[str] = tuple(C.MONITORED_FEATURES),
-                   rules: C.DriftRules = C.DriftRules()) -> MonitoringRun:
+                   rules: C.DriftRules = C.DriftRules(),
+                   training_root: str | None = None) -> MonitoringRun:
     """Compare current features and scores with the stored baseline.
 
-    ``truth`` holds (patient_id, true_label) where diagnoses are known.
+    ``truth`` holds (patient_id, true_label) where diagnoses are known. Without a given
+    ``reference_f1``, the newest committed training run below ``training_root`` supplies it;
+    with no committed run the F1 rule doesn't fire.
     """
+    if reference_f1 is None and training_root is not None:
+        manifest = runs.latest(features.sparkSession, training_root)
+        reference_f1 = training.reference_f1(manifest) if manifest else None
     report = stored(drift.detect_drift(drift.long_features(features, monitored), baseline, rules),
                     "drift_report")
     f1 = None

@@ -4,10 +4,12 @@ from datetime import datetime, timezone
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from checks import run_checks
 from cohort_risk import config as C
-from cohort_risk.plans import training
+from cohort_risk.operators import drift
+from cohort_risk.plans import monitoring, score, training
 from cohort_risk.session import shared_dir
 from cohort_risk.sinks import runs
 
@@ -61,3 +63,10 @@ def test_run_gives_models_and_reference(spark, small):
     models = training.load_run(spark, root)
     assert set(models) == {"A", "B"} and models["A"].kernel is not None
     assert models["A"].probabilities(df).count() == df.count()
+    # every prediction wrong: the F1 rule fires against the committed run's reference
+    scored = score.score(df, models["A"], models["B"], F.lit("2024-06-01").cast("timestamp")).withColumn(
+        "predicted_class", F.lit(0))
+    truth = df.select("patient_id", F.lit(2).alias("true_label"))
+    base = drift.compute_baseline(drift.long_features(df))
+    decision = monitoring.monitoring_run(df, scored, base, truth=truth, training_root=root).decision.first()
+    assert ("F1 degraded" in decision["reasons"]) == (training.reference_f1(manifest) > C.DriftRules().f1_drop)
