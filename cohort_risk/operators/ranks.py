@@ -2,8 +2,10 @@
 
 Input is always a table of distinct values with counts, so repeated values are
 combined on the map side. Values are then cut into order-preserving buckets: first
-by magnitude, then each of those between its own smallest and largest value, into
-as many parts as its number of values asks for. The totals per bucket form a small
+by magnitude, then each bucket with more values than a task should sort is split at
+cut points that a quantile summary picks. The summary (Greenwald-Khanna, as
+``percentile_approx`` keeps it) is built in each task and merged, so crowded values
+beside a few far ones still spread evenly over the parts. The totals per bucket form a small
 table whose running sum gives every bucket its offset; the running sum inside a
 bucket is an ordinary window over that bucket.
 """
@@ -19,6 +21,10 @@ from pyspark.sql import functions as F
 BUCKETS_PER_OCTAVE = 1024
 #: Distinct values that a bucket should hold.
 BUCKET_VALUES = 20_000
+#: Parts of one magnitude bucket at most; each row of it is compared with its cut points.
+MAX_PARTS = 1024
+#: Grid points of the quantile summary per part of the largest bucket.
+RESOLUTION = 16
 _BUCKET = ["__bucket", "__part"]
 
 
@@ -37,16 +43,32 @@ def order_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
 
 def _cut(counts: DataFrame, groups: Sequence[str], value: str,
          bucket_values: int = BUCKET_VALUES) -> DataFrame:
-    """Add the two bucket columns; together they never decrease as ``value`` grows."""
+    """Add the two bucket columns; together they never decrease as ``value`` grows.
+
+    A bucket of n values gets ceil(n / bucket_values) parts, at most ``MAX_PARTS``. The
+    summaries of all large buckets share one grid of ``RESOLUTION`` points per part of the
+    largest bucket; each bucket takes the grid points nearest its own k / parts. Only that
+    largest count reaches the driver. Beyond ``MAX_PARTS`` parts grow, still even; ranks
+    stay exact at any size.
+    """
     coarse = counts.withColumn("__bucket", order_bucket(F.col(value)))
     shape = coarse.groupBy(*groups, "__bucket").agg(
-        F.min(value).alias("__low"), F.max(value).alias("__high"),
-        F.ceil(F.count("*") / bucket_values).alias("__parts"))
-    place = F.floor((F.col(value) - F.col("__low")) / (F.col("__high") - F.col("__low")) * F.col("__parts"))
-    part = F.when(F.col("__high") > F.col("__low"), F.least(place, F.col("__parts") - 1))
-    return (coarse.join(shape, [*groups, "__bucket"])
-            .withColumn("__part", F.coalesce(part, F.lit(0).cast("bigint")))
-            .drop("__low", "__high", "__parts"))
+        F.least(F.ceil(F.count("*") / bucket_values), F.lit(MAX_PARTS)).alias("__parts")).filter("__parts > 1")
+    finest = shape.agg(F.max("__parts")).first()[0]
+    if not finest:
+        return coarse.withColumn("__part", F.lit(0).cast("bigint"))
+    size = RESOLUTION * finest
+    grid = [k / size for k in range(1, size)]
+    summaries = (coarse.join(shape, [*groups, "__bucket"])
+                 .groupBy(*groups, "__bucket", "__parts")
+                 .agg(F.percentile_approx(value, grid, max(10_000, 2 * size)).alias("__grid")))
+    points = summaries.select(*groups, "__bucket", F.transform(
+        F.sequence(F.lit(1), F.col("__parts") - 1),
+        lambda k: F.element_at("__grid", F.round(k * size / F.col("__parts")).cast("int"))).alias("__points"))
+    part = F.size(F.filter("__points", lambda p: p < F.col(value)))
+    return (coarse.join(points, [*groups, "__bucket"], "left")
+            .withColumn("__part", F.coalesce(part, F.lit(0)).cast("bigint"))
+            .drop("__points"))
 
 
 def value_counts(long: DataFrame, groups: Sequence[str], value: str = "value",

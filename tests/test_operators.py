@@ -143,6 +143,20 @@ def test_narrow_values_spread_over_many_buckets(spark):
     assert got == 1.7e9 + 5 * 0.25 * 199_999
 
 
+def test_crowded_values_beside_far_ones_spread_evenly(spark):
+    # one magnitude bucket: 100,000 values within 1e-7 of 1.0, and two near its far end
+    crowded = spark.range(100_000).select(F.lit("x").alias("g"), (1.0 + F.col("id") * 1e-12).alias("value"),
+                                          F.lit(1).alias("n"))
+    far = spark.createDataFrame([("x", 1.0006, 1), ("x", 1.00061, 1)], "g string, value double, n int")
+    both = crowded.unionByName(far)
+    cut = ranks._cut(both, ["g"], "value", bucket_values=2_000)
+    assert cut.select("__bucket").distinct().count() == 1
+    sizes = [r["count"] for r in cut.groupBy("g", "__bucket", "__part").count().collect()]
+    assert len(sizes) >= 45 and max(sizes) <= 2_500
+    got = ranks.running_totals(both, ["g"], "value", ["n"]).filter("value = 1.0006").first()["cum_n"]
+    assert got == 100_001
+
+
 def test_lead_feature_is_the_first_with_data(spark):
     wide = spark.createDataFrame(
         [("BGD", 2010, "Male", "30-44", None, 10.0), ("BGD", 2020, "Both", "All ages", None, 50.0)],
