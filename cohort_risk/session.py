@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +46,40 @@ def _run_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+#: The scope that ``stored`` writes into, if any: a folder of the run that is deleted as a whole.
+_SCOPE: list[str] = []
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder of this application below ``spark.checkpoint.dir``."""
-    return f"{_run_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder of this application below ``spark.checkpoint.dir`` (inside the open scope)."""
+    inside = f"{_SCOPE[-1]}/" if _SCOPE else ""
+    return f"{_run_dir(spark)}/{inside}{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_scope(spark: SparkSession, name: str) -> None:
+    """Deletes the intermediate tables of a scope, and lets Spark clean the shuffles nobody reads.
+
+    Frames that still read one of those tables can't be used afterwards.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_run_dir(spark)}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str):
+    """Tables stored inside go to one folder; what was there from before is deleted first.
+
+    For steps that run one after the other, each reading only what the one before returned
+    after that was written out: a step frees its predecessor's intermediate tables.
+    """
+    drop_scope(spark, name)
+    _SCOPE.append(name)
+    try:
+        yield
+    finally:
+        _SCOPE.pop()
 
 
 def release(spark: SparkSession) -> None:
