@@ -63,6 +63,14 @@ def mark(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
              salts: int = SALTS) -> DataFrame:
-    """The rows of ``df`` that ``mark`` keeps, with their columns."""
-    found = stored(groups(df, text_col, id_col, salts).select("keep_id"), "exact-kept")
-    return df.join(found, df[id_col].eqNullSafe(found["keep_id"]), "left_semi")
+    """The rows of ``df`` that ``mark`` keeps, with their columns, row by row.
+
+    A row stays where its id is the ``keep_id`` of its own text's group: the lookup is by
+    id and both digests, so a row whose id also names a kept row of another text goes.
+    """
+    found = stored(groups(df, text_col, id_col, salts).select("keep_id", "digest", "check"), "exact-kept")
+    rows = df.select("*", F.sha2(normalised(F.col(text_col)), 256).alias("__digest"),
+                     F.xxhash64(normalised(F.col(text_col))).alias("__check"))
+    on = (rows[id_col].eqNullSafe(found["keep_id"]) & (rows["__digest"] == found["digest"])
+          & (rows["__check"] == found["check"]))
+    return rows.join(found, on, "left_semi").drop("__digest", "__check")

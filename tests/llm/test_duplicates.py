@@ -23,6 +23,19 @@ def test_exact_groups(docs, odd):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 7, 8, 10]
 
 
+def test_exact_keep_one_equals_the_verdicts_row_by_row(docs):
+    rows = [(1, "x"), (None, "x"), (None, "y"), (3, "b"), (5, "a"), (5, "b"), (6, "z"), (6, "z"),
+            (7, long_text(1, 20_000)), (8, long_text(1, 20_000)), (9, None), (10, "")]
+    table = docs(rows)
+    kept = dedup.keep_one(table)
+    assert kept.columns == table.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "x"), (None, "y"), (3, "b"), (5, "a"), (6, "z"), (6, "z"),
+                          (7, long_text(1, 20_000)), (9, None)], key=repr)
+    verdicts = [(r["doc_id"], r["text_sha256"]) for r in dedup.mark(table).collect() if r["kept"]]
+    assert len(verdicts) == len(got)
+
+
 def test_exact_hot_text_over_many_partitions(docs):
     table = docs([(i, "same" if i % 3 else f"own {i}") for i in range(600)]).repartition(40)
     found = dedup.mark(table, salts=4).collect()
