@@ -12,34 +12,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_risk.llm import bpe, dedup, mixing, near_dedup, quality
-from cohort_risk.session import set_root, stored
+from cohort_risk.session import scope, set_root, shared_dir
 
 VOCABULARY = "byte_bpe_50k.json"
+#: The folder of a stage's intermediate tables; the next stage deletes it when it starts.
+SCOPE = "pipeline-stage"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the base rules and stay near their language."""
-    return quality.assess(docs).filter("kept").select("row.*")
+    with scope(spark, SCOPE):
+        return quality.assess(docs).filter("kept").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first of documents that differ at most in runs of white space."""
-    return dedup.keep_one(docs)
+    with scope(spark, SCOPE):
+        return dedup.keep_one(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first of each class of near-duplicates."""
-    return near_dedup.keep_one(docs)
+    with scope(spark, SCOPE):
+        return near_dedup.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that sources, languages and forms meet tempered weights."""
-    return mixing.weigh(docs, calibrated=True).filter("sampled").select("row.*")
+    with scope(spark, SCOPE):
+        return mixing.weigh(docs, calibrated=True).filter("sampled").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding gives the text back."""
-    found = bpe.encode(docs, public_tokenizers.path(VOCABULARY), keep=("doc_id", "lang", "source", "text"))
+    with scope(spark, SCOPE):
+        found = bpe.encode(docs, public_tokenizers.path(VOCABULARY), keep=("doc_id", "lang", "source", "text"))
     return found.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
@@ -57,11 +64,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the table ``documents``, each stored before the next reads it."""
+    """All stages on the table ``documents``, each written before the next reads it.
+
+    Only the newest stage's output and intermediate tables stay on disk.
+    """
     set_root(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_dir(spark, f"pipeline-{name.replace(' ', '-')}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(before)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        before = path
     return docs
 
 
