@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +126,38 @@ def decode(vocabulary: Vocabulary, packed: bytes) -> str:
     return b"".join(map(vocabulary.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _byte_table(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All token bytes in one array, with each id's start and length."""
+    top = max(vocabulary.token_bytes) + 1
+    lengths = np.zeros(top, dtype=np.int64)
+    for i, data in vocabulary.token_bytes.items():
+        lengths[i] = len(data)
+    starts = np.zeros(top, dtype=np.int64)
+    np.cumsum(lengths[:-1], out=starts[1:])
+    flat = np.frombuffer(b"".join(vocabulary.token_bytes.get(i, b"") for i in range(top)), dtype=np.uint8)
+    return flat, starts, lengths
+
+
+def decode_gathered(table: tuple[np.ndarray, np.ndarray, np.ndarray], packed: bytes) -> str:
+    """As ``decode``, by one gather from the flat byte table."""
+    flat, starts, lengths = table
+    ids = np.frombuffer(packed, dtype="<u4")
+    sizes = lengths[ids]
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+    return flat[at].tobytes().decode("utf-8", "replace")
+
+
+@lru_cache(maxsize=4)
+def _worker(path: str) -> tuple[Vocabulary, Encoder, tuple]:
+    """Vocabulary, encoder and byte table of ``path``, once per worker process.
+
+    The encoder's memory of words thus outlives a task; it stays bounded by ``CACHE_WORDS``.
+    """
+    vocabulary = load(path)
+    return vocabulary, Encoder(vocabulary), _byte_table(vocabulary)
+
+
 def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Cut a list into runs of about ``chars`` characters, one text at least."""
     run, size = [], 0
@@ -151,15 +184,14 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text",
                         "ids array<int>", "decoded string"])
 
     def run(batches):
-        vocabulary = load(vocabulary_path)
-        encoder = Encoder(vocabulary)
+        _, encoder, table = _worker(vocabulary_path)
         for batch in batches:
             for at, texts in _cut(batch):
                 packed = encoder.packed(texts)
                 ids = [np.frombuffer(p, dtype="<i4") for p in packed]
                 yield pa.RecordBatch.from_arrays(
                     [*at.columns[:-1], pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([decode(vocabulary, p) for p in packed], pa.string())],
+                     pa.array([decode_gathered(table, p) for p in packed], pa.string())],
                     [*at.schema.names[:-1], "ids", "decoded"])
 
     return source.mapInArrow(run, schema)
@@ -177,8 +209,7 @@ def digests(df: DataFrame, vocabulary_path: str, text_col: str = "text",
                         "n_tokens bigint, ids_sha256 string, decoded_sha256 string"])
 
     def run(batches):
-        vocabulary = load(vocabulary_path)
-        encoder = Encoder(vocabulary)
+        _, encoder, table = _worker(vocabulary_path)
         for batch in batches:
             for at, texts in _cut(batch):
                 packed = encoder.packed(texts)
@@ -186,7 +217,7 @@ def digests(df: DataFrame, vocabulary_path: str, text_col: str = "text",
                     [*at.columns[:-1],
                      pa.array([len(p) // 4 for p in packed], pa.int64()),
                      pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
-                     pa.array([hashlib.sha256(decode(vocabulary, p).encode()).hexdigest()
+                     pa.array([hashlib.sha256(decode_gathered(table, p).encode()).hexdigest()
                                for p in packed])],
                     [*at.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"])
 

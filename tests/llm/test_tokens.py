@@ -71,3 +71,18 @@ def test_counts_of_nothing(docs):
     assert token_counts.count_tokens(docs([]), PATH).count() == 0
     counts = token_counts.Counts(PATH, {}, cache_words=2)
     assert counts.of(["a b c d e", "a b c d e"]) == [5, 5]
+
+
+def test_gathered_decode_equals_joined_decode():
+    import public_tokenizers
+    import numpy as np
+
+    from cohort_risk.llm import bpe
+    from cohort_risk.llm.vocab import load
+    vocabulary = load(public_tokenizers.path("byte_bpe_50k.json"))
+    table = bpe._byte_table(vocabulary)
+    rng = np.random.default_rng(0)
+    top = max(vocabulary.token_bytes)
+    for n in (0, 1, 7, 5000):
+        packed = rng.integers(0, top + 1, n).astype("<u4").tobytes()
+        assert bpe.decode_gathered(table, packed) == bpe.decode(vocabulary, packed)
