@@ -295,6 +295,16 @@ def stream_env_mean_all(spark, sf):
         "country_iso3", "parameter", F.round("mean_value", 8).alias("mean_value"), "n_values")
 
 
+@register("stream_env_mean_merged", ORACLES["stream_env_mean_all"])
+def stream_env_mean_merged(spark, sf):
+    """As stream_env_mean_all, by partial sums that each micro-batch merges into its windows."""
+    root, checkpoint = shared_dir(spark, "windows"), shared_dir(spark, "windows_state")
+    readings.merge_windows(_reading_stream(spark, sf), root, checkpoint).awaitTermination()
+    return readings.merged_means(spark, root).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "country_iso3", "parameter", F.round("mean_value", 8).alias("mean_value"), "n_values")
+
+
 @register("stream_dedup", """SELECT DISTINCT concat('s', user_id % 50) AS location_id,
   CASE event_id % 4 WHEN 0 THEN 'pm25' WHEN 1 THEN 'pm10' WHEN 2 THEN 'no2' ELSE 'o3' END AS parameter,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS measured_at, microsecond(ts) AS us FROM events JOIN nation ON user_id % 25 = n_nationkey""")

@@ -97,3 +97,74 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (stream.writeStream.format("parquet").outputMode("append")
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+_WINDOW_KEYS = ["window_start", "window_end", "country_iso3", "parameter"]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def merge_batch(batch: DataFrame, batch_id: int, root: str, window: str = "1 day",
+                delay: str = "1 hour") -> None:
+    """Adds one micro-batch of readings to the window table below ``root``.
+
+    The batch's partial sums are written under its id (a repeated batch replaces its own),
+    and only the days of windows it touched are added up again, from the partials of those
+    days; raw readings of earlier batches are never read again. A reading is late when the
+    watermark of the batches before it (their newest time less ``delay``) has passed its
+    window's end; it still counts in the mean.
+    """
+    spark = batch.sparkSession
+    rows = batch.select("country_iso3", "parameter", "value", "measured_at",
+                        F.window("measured_at", window).alias("w")).select(
+        "country_iso3", "parameter", "value", "measured_at",
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+    marks = f"{root}/marks"
+    newest = None
+    if _exists(spark, marks):
+        newest = spark.read.parquet(marks).filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+    late = (F.col("window_end") <= F.lit(newest) - F.expr(f"INTERVAL {delay}")) if newest is not None \
+        else F.lit(False)
+    rows = rows.persist()
+    try:
+        partial = (rows.groupBy(*_WINDOW_KEYS)
+                   .agg(F.sum("value").alias("total"), F.count("value").alias("n_values"),
+                        F.count_if(late).alias("n_late"))
+                   .withColumns({"day": F.to_date("window_start"), "batch_id": F.lit(batch_id)}))
+        (partial.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch_id").parquet(f"{root}/partials"))
+        (rows.agg(F.max("measured_at").alias("newest")).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(marks))
+        # the days of one batch's windows, a short list
+        touched = [r["day"] for r in rows.select(F.to_date("window_start").alias("day")).distinct().collect()]
+    finally:
+        rows.unpersist()
+    if not touched:
+        return
+    sums = (spark.read.parquet(f"{root}/partials").filter(F.col("day").isin(touched))
+            .groupBy("day", *_WINDOW_KEYS)
+            .agg(F.sum("total").alias("total"), F.sum("n_values").alias("n_values"),
+                 F.sum("n_late").alias("n_late")))
+    (sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(f"{root}/windows"))
+
+
+def merge_windows(stream: DataFrame, root: str, checkpoint: str, window: str = "1 day",
+                  delay: str = "1 hour") -> StreamingQuery:
+    """Keeps the window table below ``root`` current, one micro-batch at a time."""
+    return (stream.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, root, window, delay))
+            .trigger(availableNow=True).start())
+
+
+def merged_means(spark: SparkSession, root: str, delay: str = "1 hour") -> DataFrame:
+    """The windows of ``merge_windows``: mean, counts, and whether still provisional."""
+    newest = spark.read.parquet(f"{root}/marks").agg(F.max("newest")).first()[0]  # one value
+    last = F.lit(newest) - F.expr(f"INTERVAL {delay}")
+    return spark.read.parquet(f"{root}/windows").select(
+        *_WINDOW_KEYS, F.when(F.col("n_values") > 0, F.col("total") / F.col("n_values")).alias("mean_value"),
+        "n_values", "n_late", F.coalesce(F.col("window_end") > last, F.lit(True)).alias("provisional"))
