@@ -241,6 +241,29 @@ def validate_environment(spark, sf):
     return df.withColumn("measured_at", stamp("measured_at"))
 
 
+@register("environment_report", q.with_ctes({"env": fx.ENVIRONMENT}, """
+  SELECT 'environment' AS dataset, metric, CAST(NULL AS VARCHAR) AS "column", CAST(v AS DOUBLE) AS value FROM (
+    SELECT sum(n_clean + n_bad) AS total_rows, sum(greatest(n_clean - 1, 0)) AS duplicate_rows,
+           count(*) FILTER (WHERE n_clean > 0) AS valid_rows, sum(n_bad) AS quarantined_rows,
+           sum(n_value) + sum(n_time) AS missing_required
+    FROM (SELECT count(*) FILTER (WHERE value IS NOT NULL AND measured_at IS NOT NULL) AS n_clean,
+                 count(*) FILTER (WHERE value IS NULL OR measured_at IS NULL) AS n_bad,
+                 count(*) FILTER (WHERE value IS NULL) AS n_value, count(*) FILTER (WHERE measured_at IS NULL) AS n_time
+          FROM env GROUP BY location_id, parameter, measured_at) k
+  ) r UNPIVOT (v FOR metric IN (total_rows, duplicate_rows, valid_rows, quarantined_rows, missing_required))"""))
+def environment_report(spark, sf):
+    return validate.environment_report(fx.load(spark, sf, fx.ENVIRONMENT))
+
+
+@register("environment_quarantine", q.with_ctes({"env": fx.ENVIRONMENT}, """
+  SELECT event_id, concat_ws('; ', CASE WHEN value IS NULL THEN 'null_value' END,
+                             CASE WHEN measured_at IS NULL THEN 'null_measured_at' END) AS reason
+  FROM env WHERE value IS NULL OR measured_at IS NULL"""))
+def environment_quarantine(spark, sf):
+    _, quarantine = validate.validate_environment_rows(fx.load(spark, sf, fx.ENVIRONMENT), ["event_id"])
+    return quarantine.select("event_id", F.col("_reject").alias("reason"))
+
+
 @register("dataset_summary", f"""SELECT dataset, n_rows, CASE WHEN n_rows > 0 THEN 'OK' ELSE 'FAIL' END AS status FROM (
   SELECT 'individual' AS dataset, count(*) AS n_rows FROM ({fx.INDIVIDUAL}) a
   UNION ALL SELECT 'population', count(*) FROM ({fx.POPULATION}) b

@@ -83,6 +83,44 @@ def validate_environment(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return keep_first(df.filter(F.col("value").isNotNull()), C.ENVIRONMENT_KEYS, order_by)
 
 
+def environment_flags(df: DataFrame) -> dict[str, Column]:
+    """Reason -> condition for a reading: a missing value or time."""
+    return {f"null_{c}": F.col(c).isNull() for c in ("value", "measured_at") if c in df.columns}
+
+
+def validate_environment_rows(df: DataFrame, order_by: Sequence[str],
+                              name: str = "environment") -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantine) of readings: rejected rows with their reasons, and the first clean
+    reading per station, parameter and time. Clean rows equal :func:`validate_environment`
+    where every reading has a time."""
+    tagged = with_reject(df, environment_flags(df))
+    return keep_first(clean_rows(tagged), C.ENVIRONMENT_KEYS, order_by), quarantined_rows(tagged, name)
+
+
+def environment_report(df: DataFrame, name: str = "environment") -> DataFrame:
+    """Report ``(dataset, metric, column, value)`` of :func:`validate_environment_rows`.
+
+    One aggregation by key (partial on the map side) and one over the keys: a key's clean
+    rows beyond the first are duplicates.
+    """
+    flags = environment_flags(df)
+    bad = F.lit(False)
+    for cond in flags.values():
+        bad = bad | cond
+    per_key = df.groupBy(*[c for c in C.ENVIRONMENT_KEYS if c in df.columns]).agg(
+        F.count_if(~bad).alias("__clean"), F.count_if(bad).alias("__bad"),
+        *[F.count_if(cond).alias(f"__{reason}") for reason, cond in flags.items()])
+    aggs = {
+        "total_rows": F.coalesce(F.sum(F.col("__clean") + F.col("__bad")), F.lit(0)),
+        "duplicate_rows": F.coalesce(F.sum(F.greatest(F.col("__clean") - 1, F.lit(0))), F.lit(0)),
+        "valid_rows": F.count_if(F.col("__clean") > 0),
+        "quarantined_rows": F.coalesce(F.sum("__bad"), F.lit(0)),
+        "missing_required": sum((F.coalesce(F.sum(f"__{r}"), F.lit(0)) for r in flags), F.lit(0)),
+    }
+    row = per_key.agg(*[a.cast("double").alias(k) for k, a in aggs.items()])
+    return _long_report(row, name)
+
+
 def _long_report(row: DataFrame, name: str) -> DataFrame:
     """One-row frame with columns ``metric`` or ``metric|column`` to long form."""
     out = row.unpivot([], row.columns, "__metric", "value")

@@ -435,3 +435,19 @@ def test_results_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(data, "patient_id string, seq int, systolic_bp double, diastolic_bp double, bmi double")
     first = rows(validate.tag_individual(df.repartition(2), ["seq"]))
     assert first == rows(validate.tag_individual(df.repartition(11, "bmi"), ["seq"]))
+
+
+def test_environment_quarantine_and_report(spark):
+    rows = [(1, "s1", "pm25", 5.0, "2024-01-01 00:00:00"), (2, "s1", "pm25", 6.0, "2024-01-01 00:00:00"),
+            (3, "s1", "pm25", None, "2024-01-01 00:00:00"), (4, "s2", "pm25", 1.0, None),
+            (5, "s2", "no2", None, None), (6, "s3", "o3", 2.0, "2024-01-02 00:00:00")]
+    df = spark.createDataFrame(rows, "event_id long, location_id string, parameter string, value double, m string")
+    df = df.withColumn("measured_at", F.to_timestamp("m")).drop("m")
+    clean, quarantine = validate.validate_environment_rows(df, ["event_id"])
+    assert sorted(r["event_id"] for r in clean.collect()) == [1, 6]
+    assert sorted((r["event_id"], r["_reject"]) for r in quarantine.collect()) == [
+        (3, "null_value"), (4, "null_measured_at"), (5, "null_value; null_measured_at")]
+    report = {r["metric"]: r["value"] for r in validate.environment_report(df).collect()}
+    assert report == {"total_rows": 6, "duplicate_rows": 1, "valid_rows": 2, "quarantined_rows": 3,
+                      "missing_required": 4}
+    assert validate.environment_report(df.limit(0)).filter("metric = 'total_rows'").first()["value"] == 0
