@@ -96,7 +96,8 @@ def labelled_samples(df: DataFrame, text_col: str = "text", id_col: str = "doc_i
     """
     share = min(1.0, sample_rows / max(df.count(), 1))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = (df.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < round(share * 1_000_000))
+    # a hash threshold of 2**-40 steps: the expected sample is sample_rows rows up to 10**15 rows
+    rows = (df.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
             .select(base_spans(text).alias("base"), F.regexp_extract_all(
                 F.regexp_replace(text, f"{ASSIGN}|{ACCESS}|{HEX}", " "), F.lit(IDENTIFIER), F.lit(0)).alias("runs")))
     strings = F.concat(

@@ -57,7 +57,8 @@ def frequent(df: DataFrame, path: str, text_col: str = "text", id_col: str = "do
     rows = df.count()
     share = min(1.0, sample_rows / max(rows, 1))
     sample = df.filter(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
+        # steps of 2**-40: the expected sample is sample_rows rows up to 10**15 rows
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
 
     def count(batches):
         found: Counter = Counter()
