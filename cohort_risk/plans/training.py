@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
@@ -36,6 +36,8 @@ FOREST, KERNEL = "forest", "kernel"
 PARALLEL_FITS = 6
 #: Rounds of tree growth between checkpoints of the cached node ids.
 NODE_CHECKPOINT = 10
+#: Fewest rows worth a task of their own.
+ROWS_PER_TASK = 4096
 
 
 def _features(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -76,11 +78,12 @@ def random_features(n_inputs: int, params: C.KernelParams):
     phase = rng.uniform(0.0, 2.0 * math.pi, params.n_components)
     scale = math.sqrt(2.0 / params.n_components)
 
-    @F.pandas_udf("array<double>")
-    def mapped(x: pd.Series) -> pd.Series:
-        if x.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ freq + phase)))
+    @F.arrow_udf("array<double>")
+    def mapped(x: pa.Array) -> pa.Array:
+        inputs = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), n_inputs)
+        out = scale * np.cos(inputs @ freq + phase)
+        ends = np.arange(len(x) + 1, dtype=np.int32) * params.n_components
+        return pa.ListArray.from_arrays(ends, out.ravel())
 
     return mapped
 
@@ -161,9 +164,18 @@ class Prepared:
     kernel: C.KernelParams | None
 
 
+def spread(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``rows`` dealt evenly over one task per core; fewer rows keep their tasks.
+
+    A narrow table fills few file splits, but its rows still cost much computing.
+    """
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // rows_per_task)
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def prepare(rows: DataFrame, features: Sequence[str], kernel: C.KernelParams | None = None) -> Prepared:
     scaler = _scaler(features).fit(_features(rows.filter(~F.col("is_test")), features))
-    out = scaler.transform(_features(rows, features))
+    out = scaler.transform(_features(spread(rows), features))
     if kernel:
         udf = random_features(len(features), kernel)
         out = out.withColumn("__mapped", array_to_vector(udf(vector_to_array("__scaled"))))

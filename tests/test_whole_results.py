@@ -1,5 +1,6 @@
 """Registered queries give all of their results, not a part of them."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,30 @@ def test_scoring_uses_the_primary_models(spark, small, monkeypatch):
         assert asked == [("A", training.KERNEL, True), ("B", training.KERNEL, True)]
 
 
+def test_prepared_rows_are_spread_over_the_cores(spark):
+    n = 3 * training.ROWS_PER_TASK
+    rows = spark.range(n).select(
+        "id", (F.col("id") % 101).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+        (F.col("id") % 5 == 0).alias("is_test")).coalesce(1)
+    kernel = C.KernelParams(n_components=8)
+    prep = training.prepare(rows, ["a", "b"], kernel)
+    sizes = [r["count"] for r in prep.rows.groupBy(F.input_file_name()).count().collect()]
+    assert sizes == [training.ROWS_PER_TASK] * 3
+    assert prep.rows.select("id").distinct().count() == n
+    assert training.spread(rows.limit(training.ROWS_PER_TASK)).rdd.getNumPartitions() == 1
+
+
+def test_mapped_inputs_are_the_random_features(spark):
+    kernel = C.KernelParams(n_components=8)
+    inputs = [[0.0, 1.0], [-2.5, 3.0], [1e3, 0.25]]
+    got = spark.createDataFrame([(x,) for x in inputs], "x array<double>").coalesce(1).select(
+        training.random_features(2, kernel)("x").alias("y")).collect()
+    rng = np.random.default_rng(kernel.seed)
+    freq = rng.normal(0.0, 1.0, (2, 8))
+    phase = rng.uniform(0.0, 2.0 * np.pi, 8)
+    assert np.allclose([r["y"] for r in got], 0.5 * np.cos(np.array(inputs) @ freq + phase), atol=1e-9)
+
+
 def test_open_windows_and_late_readings_are_published(spark, tmp_path):
     schema = "country_iso3 string, parameter string, value double, measured_at timestamp"
     source = str(tmp_path / "in")
