@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_risk.session import stored
+from cohort_risk.session import free_shuffles, stored
 
 #: Reducers that the copies of one text are dealt over.
 SALTS = 16
@@ -69,6 +69,7 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     id and both digests, so a row whose id also names a kept row of another text goes.
     """
     found = stored(groups(df, text_col, id_col, salts).select("keep_id", "digest", "check"), "exact-kept")
+    free_shuffles(df.sparkSession)  # the content's, before the rows go through one of their own
     rows = df.select("*", F.sha2(normalised(F.col(text_col)), 256).alias("__digest"),
                      F.xxhash64(normalised(F.col(text_col))).alias("__check"))
     on = (rows[id_col].eqNullSafe(found["keep_id"]) & (rows["__digest"] == found["digest"])

@@ -56,13 +56,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_run_dir(spark)}/{inside}{purpose}-{uuid.uuid4().hex}"
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark clean the shuffles of frames that nobody refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scope(spark: SparkSession, name: str) -> None:
     """Deletes the intermediate tables of a scope, and lets Spark clean the shuffles nobody reads.
 
     Frames that still read one of those tables can't be used afterwards.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    free_shuffles(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{_run_dir(spark)}/{name}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

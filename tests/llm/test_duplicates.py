@@ -44,6 +44,15 @@ def test_exact_hot_text_over_many_partitions(docs):
     assert dedup.mark(docs([])).count() == 0
 
 
+def test_exact_keep_one_frees_the_content_shuffles_first(docs, monkeypatch):
+    steps, stored, freed = [], dedup.stored, dedup.free_shuffles
+    monkeypatch.setattr(dedup, "stored", lambda df, name: (stored(df, name), steps.append(name))[0])
+    monkeypatch.setattr(dedup, "free_shuffles", lambda spark: (freed(spark), steps.append("freed"))[0])
+    kept = dedup.keep_one(docs([(1, "x"), (2, "x"), (3, "y")]))
+    assert steps == ["exact-kept", "freed"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def similarity(a: str, b: str) -> float:
     def units(t):
         w = re.findall(r"[^\x20\x09-\x0d]+", t)
