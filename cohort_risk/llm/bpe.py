@@ -1,10 +1,10 @@
 """Byte-pair encoding and decoding with shared prefixes.
 
-The distinct words of a batch that the worker doesn't know yet go into a trie. A walk over
-it, depth first, keeps for every prefix the last token of its encoding: of the tokens that
+The distinct words of a batch that the worker doesn't know yet form a trie. A walk over it,
+depth first (the words in sorted order), keeps for every prefix the last token of its encoding: of the tokens that
 end the prefix, it is the one that stays apart from the last token of what stands before it.
-A prefix that many words share is thus encoded once, and the encoding of a word is read
-backwards along the last tokens. Words are independent of each other, so there is no shuffle.
+A prefix that many words share is thus encoded once: the encoding of what stands before its
+last token, and that token. Words are independent of each other, so there is no shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from cohort_risk.llm.vocab import SPACE, Vocabulary, load
 
 #: Words whose encoding a worker remembers; then it starts anew.
 CACHE_WORDS = 500_000
+#: Longest prefix whose whole encoding is kept; that of a longer one is read backwards.
+SHORT_BYTES = 64
 #: Characters of text that are encoded at a time.
 SLICE_CHARS = 4_000_000
 
@@ -31,43 +33,54 @@ _END = -1
 _RUN = re.compile(rf" (?:[{SPACE}]|\Z)").search
 
 
-def _trie(words: Iterable[bytes]) -> dict:
-    root: dict = {}
-    for word in words:
-        node = root
-        for byte in word:
-            below = node.get(byte)
-            if below is None:
-                below = node[byte] = {}
-            node = below
-        node[_END] = word
-    return root
+def encode_packed(vocabulary: Vocabulary, words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Each distinct non-empty word with its packed ids.
+
+    Sorted words pass the trie depth first: what a word shares with the one before it is kept,
+    and only the path below is walked.
+    """
+    size, ending, shorter, goto = vocabulary.size, vocabulary.ending, vocabulary.shorter, vocabulary.goto
+    step, apart, joined = vocabulary.step, vocabulary.stays_apart, vocabulary.joined
+    tokens = vocabulary.packed_ids
+    last, state = [0], [0]  # by depth along the path from the root
+    packed = [b""]  # likewise, down to SHORT_BYTES
+    before = b""
+    for word in sorted(words):
+        depth = 0
+        for a, b in zip(before, word):
+            if a != b:
+                break
+            depth += 1
+        del last[depth + 1:], state[depth + 1:], packed[depth + 1:]
+        at = state[depth]
+        for byte in word[depth:]:
+            depth += 1
+            below = goto.get(at << 8 | byte)
+            at = step(at, byte) if below is None else below
+            token = ending[at]
+            start = depth - size[token]
+            while start:
+                pair = last[start], token
+                known = joined.get(pair)
+                if apart(*pair) if known is None else known:
+                    break
+                token = shorter[token]
+                start = depth - size[token]
+            last.append(token)
+            state.append(at)
+            if depth <= SHORT_BYTES:
+                packed.append(packed[start] + tokens[token])
+        before, tail = word, []
+        while depth > SHORT_BYTES:
+            tail.append(tokens[last[depth]])
+            depth -= size[last[depth]]
+        yield word, packed[depth] + b"".join(tail[::-1])
 
 
 def encode_words(vocabulary: Vocabulary, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
     """Each distinct non-empty word with the ids of its tokens."""
-    ids, size, ending, shorter = (
-        vocabulary.ids, vocabulary.size, vocabulary.ending, vocabulary.shorter)
-    step, apart = vocabulary.step, vocabulary.stays_apart
-    last, state = [0], [0]  # by depth along the path from the root
-    stack = [(node, 1, byte) for byte, node in _trie(words).items() if byte != _END]
-    while stack:
-        node, depth, byte = stack.pop()
-        del last[depth:], state[depth:]
-        state.append(step(state[depth - 1], byte))
-        token = ending[state[depth]]
-        while size[token] < depth and not apart(last[depth - size[token]], token):
-            token = shorter[token]
-        last.append(token)
-        for key, below in node.items():
-            if key == _END:
-                out, at = [], depth
-                while at:
-                    out.append(ids[last[at]])
-                    at -= size[last[at]]
-                yield below, out[::-1]
-            else:
-                stack.append((below, depth + 1, key))
+    for word, packed in encode_packed(vocabulary, words):
+        yield word, np.frombuffer(packed, dtype="<u4").tolist()
 
 
 class Encoder:
@@ -100,7 +113,11 @@ class Encoder:
         if len(self.chunks) + len(fresh) > self.cache_words:
             self.chunks = {}
             fresh = set().union(*(chunks[1:] for chunks in cut if chunks))
-        inner = [(chunk, words(" " + chunk)) for chunk in fresh]
+        # letters alone are one word, whose encoding needs no second entry
+        plain = {chunk for chunk in fresh if chunk.isascii() and chunk.isalpha()}
+        found = encode_packed(self.vocabulary, (f" {chunk}".encode() for chunk in plain))
+        self.chunks.update((word[1:].decode(), packed) for word, packed in found)
+        inner = [(chunk, words(" " + chunk)) for chunk in fresh - plain]
         self._learn(set().union(*heads, *(found for _, found in inner)))
         get = self.known.__getitem__
         self.chunks.update((chunk, b"".join(map(get, found))) for chunk, found in inner)
@@ -112,8 +129,8 @@ class Encoder:
         missing = words.difference(self.known)
         if len(self.known) + len(missing) > self.cache_words:
             self.known, missing = {}, words
-        found = encode_words(self.vocabulary, (w.encode() for w in missing))
-        self.known.update((w.decode(), _pack(ids)) for w, ids in found)
+        found = encode_packed(self.vocabulary, (w.encode() for w in missing))
+        self.known.update((w.decode(), packed) for w, packed in found)
 
 
 def _pack(ids: list[int]) -> bytes:

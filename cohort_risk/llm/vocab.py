@@ -65,6 +65,7 @@ class Vocabulary:
         self.ids = [0] * len(order)
         for token, i in order.items():
             self.ids[i] = ids[token]
+        self.packed_ids = [i.to_bytes(4, "little") for i in self.ids]
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.token_bytes = {ids[token]: data for token, data in raw.items()}
         for token, i in self.special.items():
@@ -74,7 +75,7 @@ class Vocabulary:
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = (
             regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None)
-        self._joined: dict[tuple[int, int], bool] = {}
+        self.joined: dict[tuple[int, int], bool] = {}
         self._link_suffixes()
 
     def _link_suffixes(self) -> None:
@@ -123,11 +124,11 @@ class Vocabulary:
         They are unmade in the opposite order of their merges. If two parts that touch at some
         moment would have merged before either grew further, the tokens don't stay apart.
         """
-        known = self._joined.get((first, second))
+        known = self.joined.get((first, second))
         if known is None:
-            if len(self._joined) > 2_000_000:
-                self._joined.clear()
-            known = self._joined[first, second] = self._unmerged(first, second)
+            if len(self.joined) > 2_000_000:
+                self.joined.clear()
+            known = self.joined[first, second] = self._unmerged(first, second)
         return known
 
     def _unmerged(self, first: int, second: int) -> bool:

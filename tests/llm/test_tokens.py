@@ -86,3 +86,17 @@ def test_gathered_decode_equals_joined_decode():
     for n in (0, 1, 7, 5000):
         packed = rng.integers(0, top + 1, n).astype("<u4").tobytes()
         assert bpe.decode_gathered(table, packed) == bpe.decode(vocabulary, packed)
+
+
+def test_packed_words_share_prefixes_and_plain_chunks_are_kept_once(library):
+    vocabulary = load(PATH)
+    rng = random.Random(4)
+    stem = "".join(rng.choices("etaoinshrdlu", k=90))
+    words = {stem[:n] + end for n in (1, 3, 62, 63, 64, 65, 66, 90) for end in ("", "s", "ing", "é")}
+    words |= {"a" * 200_000}  # its prefixes' encodings together would not fit in memory
+    found = dict(bpe.encode_packed(vocabulary, {w.encode() for w in words}))
+    assert {w: found[w.encode()] for w in words} == {
+        w: b"".join(i.to_bytes(4, "little") for i in expected(library, w)) for w in words}
+    encoder = bpe.Encoder(vocabulary)
+    encoder.packed(["ab cd ef it's"])
+    assert set(encoder.known) == {"ab", " it", "'s"} and set(encoder.chunks) == {"cd", "ef", "it's"}
