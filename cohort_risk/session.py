@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Spark's setting that deletes the shuffles of a query at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name: str = "cohort_risk", **conf: str) -> SparkSession:
     """Create a session; the cluster's own settings stay unless given in ``conf``."""
@@ -62,6 +65,17 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Queries inside delete their shuffles when they end, without waiting for a garbage collection."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def drop_scope(spark: SparkSession, name: str) -> None:
     """Deletes the intermediate tables of a scope, and lets Spark clean the shuffles nobody reads.
 
@@ -100,8 +114,10 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a point that survives lost executors, computes the frame
-    once for several readers, and gives Catalyst its true size.
+    once for several readers, and gives Catalyst its true size. The shuffles of the
+    write are deleted when it ends, as nobody reads them again.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

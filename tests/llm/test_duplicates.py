@@ -1,10 +1,14 @@
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cohort_risk.llm import dedup, near_dedup
+from cohort_risk.session import stored
 
 from .conftest import long_text
 
@@ -53,6 +57,22 @@ def test_exact_keep_one_frees_the_content_shuffles_first(docs, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
+def test_stored_frames_leave_no_shuffle(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for d in manager.localDirsString() for f in Path(d).rglob("shuffle_*")}
+
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = files()
+    kept = stored(df, "shuffled")
+    deadline = time.time() + 10
+    while files() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not files() - before
+    assert sorted(kept.collect()) == sorted(df.collect())  # the frame itself can still be read
+
+
 def similarity(a: str, b: str) -> float:
     def units(t):
         w = re.findall(r"[^\x20\x09-\x0d]+", t)
