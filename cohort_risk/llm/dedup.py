@@ -1,16 +1,17 @@
 """Exact duplicates by full content, safe against groups of any size.
 
-Three combining steps, each on the whole normalised text beside its digest, so that equal
-digests of different texts never meet:
+Rows are first counted by two independent digests of their whole normalised text. A text whose
+digests occur once has no equal, so its content goes no further. The others are combined by
+content, so that equal digests of different texts never meet:
 
 1. each task combines the equal texts of its own rows (the partial aggregation below the
-   first shuffle), so that a text leaves a task once however often it occurs there;
+   shuffle), so that a text leaves a task once however often it occurs there;
 2. what is left is combined within salts, which deal the winners of a text that all tasks
    hold over several reducers;
 3. the winners of the salts, at most one for each salt and text, are combined globally.
 
-Rows then look up their group by two independent digests of the content. That join lies
-directly over shuffles of narrow rows, so adaptive execution can split a hot text there.
+Rows then look up their group by both digests. Both joins lie directly over shuffles, so
+adaptive execution can split a hot text there.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_risk import session
 from cohort_risk.session import free_shuffles, stored
 
 #: Reducers that the copies of one text are dealt over.
@@ -31,19 +33,27 @@ def normalised(text) -> F.Column:
 
 def _digested(df: DataFrame, text_col: str, *columns) -> DataFrame:
     rows = df.select(*columns, normalised(F.col(text_col)).alias("content"))
-    return rows.withColumns({"digest": F.sha2("content", 256), "check": F.xxhash64("content")})
+    return rows.select("*", *_digests())
+
+
+def _digests() -> list[F.Column]:
+    return [F.sha2("content", 256).alias("digest"), F.xxhash64("content").alias("check")]
 
 
 def groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
            salts: int = SALTS) -> DataFrame:
     """One row per distinct normalised text: digest, check, keep_id, group_size."""
     rows = _digested(df, text_col, F.col(id_col).alias("id"))
-    salted = (rows.withColumn("salt", F.spark_partition_id() % salts)
-              .groupBy("digest", "check", "salt", "content")
-              .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
-    return (salted.groupBy("digest", "check", "content")
-            .agg(F.min("id").alias("keep_id"), F.sum("n").alias("group_size"))
-            .drop("content"))
+    counted = session.stored(rows.groupBy("digest", "check").agg(
+        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "exact-digests")
+    repeated = rows.join(counted.filter("group_size > 1"), ["digest", "check"], "left_semi")
+    # grouped without the digests: Spark would take the join's shuffle for the salted one
+    salted = (repeated.withColumn("salt", F.spark_partition_id() % salts)
+              .groupBy("salt", "content").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    equal = (salted.groupBy("content")
+             .agg(F.min("id").alias("keep_id"), F.sum("n").alias("group_size"))
+             .select(*_digests(), "keep_id", "group_size"))
+    return counted.filter("group_size = 1").unionByName(equal)
 
 
 def mark(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",

@@ -73,6 +73,18 @@ def test_stored_frames_leave_no_shuffle(spark):
     assert sorted(kept.collect()) == sorted(df.collect())  # the frame itself can still be read
 
 
+def test_exact_groups_combine_only_contents_that_repeat(docs, monkeypatch):
+    joined, digests = [], dedup._digests
+    monkeypatch.setattr(dedup, "_digests", lambda: joined.append(1) or digests())
+    table = docs([(i, f"own {i}") for i in range(300)] + [(300 + i, "same") for i in range(40)])
+    found = dedup.groups(table)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan  # contents meet the repeated digests before they are combined
+    assert sorted((r["keep_id"], r["group_size"]) for r in found.collect()) == [
+        *((i, 1) for i in range(300)), (300, 40)]
+    assert len(joined) == 2
+
+
 def similarity(a: str, b: str) -> float:
     def units(t):
         w = re.findall(r"[^\x20\x09-\x0d]+", t)
