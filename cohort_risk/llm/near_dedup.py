@@ -38,6 +38,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
 #: Hash groups of a text's profile, a multiple of 64.
 GROUPS = 1024
+#: Tables between the steps are many and narrow: tasks per core that write them at least, and
+#: documents for which there is one more.
+WAVES, DOCUMENTS_PER_TASK = 4, 5_000
 #: Characters that are hashed at a time.
 SLICE = 1_500_000
 
@@ -194,27 +197,36 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                 [batch.column(i).take(pa.array(keep, pa.int64())) for i in (0, 1)], ["a", "b"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def components(links: DataFrame, labels: DataFrame) -> DataFrame:
+def few_tasks(documents: DataFrame) -> int:
+    """Tasks that write a narrow table about these documents: they grow with their number, and
+    files of a few rows, which would outlast the work in them, are not made."""
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    return max(WAVES * cores, documents.count() // DOCUMENTS_PER_TASK)
+
+
+def components(links: DataFrame, labels: DataFrame, tasks: int | None = None) -> DataFrame:
     """``labels`` (id, class) after all links (a, b): the smallest class that can be reached.
 
     Every round each row takes the smallest class among its own, its neighbours' and those
-    classes' own classes; paths shrink by more than half. Each round is stored.
+    classes' own classes; paths shrink by more than half. Each round is stored, by ``tasks`` tasks.
     """
-    both = stored(links.union(links.select("b", "a")).toDF("id", "other"), "links")
+    ends = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
+                   F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
+    both = stored(links.select(F.inline(ends)), "links", tasks)
     while True:
         seen = (both.join(labels.toDF("other", "class"), "other")
                 .groupBy("id").agg(F.min("class").alias("near")))
         nearer = stored(labels.join(seen, "id", "left").select(
             "id", F.least("class", F.coalesce("near", "class")).alias("class"),
-            (F.col("near") < F.col("class")).alias("moved")), "classes")
+            (F.col("near") < F.col("class")).alias("moved")), "classes", tasks)
         if nearer.filter("moved").isEmpty():
             return nearer.drop("moved")
         above = nearer.select(F.col("id").alias("class"), F.col("class").alias("above"))
         labels = stored(nearer.join(above, "class", "left").select(
-            "id", F.coalesce("above", "class").alias("class")), "classes")
+            "id", F.coalesce("above", "class").alias("class")), "classes", tasks)
 
 
 def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -228,15 +240,15 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """
     named = df.filter(F.col(id_col).isNotNull())
     rows = stored(_sketches(named, text_col, id_col), "sketches")
-    firsts = stored(rows.filter("n > 0").groupBy("digest", "check").agg(F.min("id").alias("first")),
-                    "copies")
+    tasks = few_tasks(rows)
+    firsts = stored(rows.filter("n > 0").groupBy("digest", "check").agg(F.min("id").alias("first")), "copies", tasks)
     members = rows.select("id", "digest", "check", "n").join(firsts, ["digest", "check"], "left") \
         .select("id", F.coalesce("first", "id").alias("first"))
     dealt = (rows.join(firsts.select(F.col("first").alias("id")), "id", "left_semi")
              .select("id", "n", F.explode("buckets").alias("bucket")))
-    shared = stored(dealt.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-                    .filter("low < high").select("bucket"), "buckets")
-    met = stored(dealt.join(shared, "bucket").distinct(), "met")
+    shared = (dealt.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+              .filter("low < high").select("bucket"))
+    met = stored(dealt.join(shared, "bucket").distinct(), "met", tasks)
     texts = stored(named.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
                    .join(met.select("id").distinct(), "id", "left_semi"), "met-texts")
     part = similarity / (1 + similarity)  # of both sizes together, that the common shingles reach
@@ -246,35 +258,35 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     least = known.groupBy("bucket").agg(F.min("n").alias("least"))
     left = stored(known.join(least, "bucket").filter(
         (F.col("n") - F.col("own")) >= part * (F.col("n") + F.greatest("least", similarity * F.col("n"))) - 1e-9)
-        .drop("least"), "comparable")
+        .drop("least"), "comparable", tasks)
     lists = left.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))  # one per band at most
-    left = stored(left.join(lists, "id").join(profiles.select("id", "profile"), "id"), "comparable")
-    labels = left.select("id", F.col("id").alias("class")).distinct()
+    left = stored(left.join(lists, "id").join(profiles.select("id", "profile"), "id"), "comparable", tasks)
+    labels = stored(left.select("id", F.col("id").alias("class")).distinct(), "classes", tasks)
     leaders = 1
     while True:
         placed = left.join(labels, "id")
         several = (placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
                    .filter("low < high").select("bucket"))
-        placed = stored(placed.join(several, "bucket", "left_semi"), "open")
+        placed = stored(placed.join(several, "bucket", "left_semi"), "open", tasks)
         if placed.isEmpty():
             break
         order = Window.partitionBy("bucket").orderBy("own", "id")
         chosen = stored(placed.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders).select(
-            "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile", "buckets"))), "leaders")
+            "bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "class", "profile", "buckets"))), "leaders", tasks)
         pairs = (placed.join(chosen, "bucket").filter(
             (F.col("class") != F.col("class_a")) & (F.col("id") != F.col("id_a"))
             & ((F.col("n") + F.col("n_a") - _apart_at_least("profile", "profile_a")) / 2
                >= part * (F.col("n") + F.col("n_a")) - 1e-9)
             & (F.array_min(F.array_intersect("buckets", "buckets_a")) == F.col("bucket")))
             .select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
-        labels = components(_alike(pairs, texts, similarity), labels)
+        labels = components(_alike(pairs, texts, similarity), labels, tasks)
         left = placed.drop("class").join(
             chosen.select("bucket", F.col("id_a").alias("id")), ["bucket", "id"], "left_anti")
         leaders *= 16
     placed = stored(members.distinct().join(labels.toDF("first", "class"), "first", "left")
                     .select("id", F.coalesce("class", "first").alias("class"))
-                    .groupBy("id").agg(F.min("class").alias("class")), "members")
-    sizes = stored(placed.groupBy("class").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
+                    .groupBy("id").agg(F.min("class").alias("class")), "members", tasks)
+    sizes = placed.groupBy("class").agg(F.count(F.lit(1)).alias("class_size"))
     found = placed.join(sizes, "class")
     return df.select(id_col).join(found, df[id_col] == found["id"], "left").select(
         df[id_col], F.coalesce("class", df[id_col]).alias("class_id"),
@@ -284,6 +296,11 @@ def classes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
              similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``df`` that ``classes`` keeps, with their columns."""
-    found = stored(classes(df, text_col, id_col, similarity).filter("kept").select(F.col(id_col).alias("_kept")), "near-kept")
-    return df.join(found, df[id_col].eqNullSafe(found["_kept"]), "left_semi")
+    """The rows of ``df`` that ``classes`` keeps, with their columns.
+
+    Rows that repeat an id share its class, so the ids that go tell them apart; they are far
+    fewer than those that stay.
+    """
+    gone = stored(classes(df, text_col, id_col, similarity).filter(~F.col("kept"))
+                  .select(F.col(id_col).alias("_gone")), "near-dropped")
+    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")

@@ -110,14 +110,15 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, tasks: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a point that survives lost executors, computes the frame
     once for several readers, and gives Catalyst its true size. The shuffles of the
-    write are deleted when it ends, as nobody reads them again.
+    write are deleted when it ends, as nobody reads them again. ``tasks`` bounds the tasks
+    of the last stage, and so the files, of a frame whose partitions hold few rows each.
     """
     path = shared_dir(df.sparkSession, purpose)
     with freed_shuffles(df.sparkSession):
-        df.write.parquet(path)
+        (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

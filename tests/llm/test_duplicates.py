@@ -85,6 +85,39 @@ def test_exact_groups_combine_only_contents_that_repeat(docs, monkeypatch):
     assert len(joined) == 2
 
 
+def test_near_keep_one_looks_up_the_dropped_ids(docs, monkeypatch):
+    tables, stored = {}, near_dedup.stored
+    monkeypatch.setattr(near_dedup, "stored", lambda df, name, *tasks: tables.setdefault(
+        (name, len(tables)), stored(df, name, *tasks)))
+    text = long_text(1, 100)
+    rows = [(1, text), (2, text), (2, "z"), (3, f"{text} more"), (4, long_text(2, 100)), (None, text), (None, text)]
+    kept = near_dedup.keep_one(docs(rows)).collect()
+    assert sorted((r["doc_id"] or 0 for r in kept)) == [0, 0, 1, 4]
+    gone = [t for (name, _), t in tables.items() if name == "near-dropped"]
+    assert len(gone) == 1 and sorted(r[0] for r in gone[0].collect()) == [2, 2, 3]
+
+
+def test_small_tables_of_the_rounds_are_few_files(docs, spark):
+    words = long_text(3, 200).split()
+    table = docs([(i, " ".join([*words[:i % 190], f"v{i}", *words[i % 190 + 1:]])) for i in range(60)])
+    most, kept = near_dedup.WAVES * spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    files, before = [], near_dedup.stored
+    spark.conf.set("spark.sql.shuffle.partitions", str(8 * most))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        near_dedup.stored = lambda df, name, *tasks: (
+            out := before(df, name, *tasks), files.append(len(out.inputFiles())) if tasks else None)[0]
+        found = near_dedup.classes(table).collect()
+    finally:
+        near_dedup.stored = before
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert {r["class_id"] for r in found} == {0}
+    assert len(files) > 5 and max(files) <= most
+    assert near_dedup.few_tasks(spark.range(200 * most * near_dedup.DOCUMENTS_PER_TASK)) == 200 * most
+
+
 def similarity(a: str, b: str) -> float:
     def units(t):
         w = re.findall(r"[^\x20\x09-\x0d]+", t)
