@@ -21,7 +21,7 @@ only the last row of each task looks up the first row of the next non-empty task
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -38,65 +38,150 @@ BASE, PRIME = 1_000_003, (1 << 61) - 1
 _MASK = (1 << 64) - 1
 #: Seeds of the coordinates, from a fixed generator.
 _SEEDS = np.random.default_rng(20240611).integers(0, 1 << 63, HASHES, dtype=np.uint64)
-#: Phrases mixed at once, to bound memory for very long texts.
-_BLOCK = 1 << 15
+#: Phrases mixed at once; their mixes stay in a core's cache.
+_BLOCK = 1 << 9
+#: Characters of text whose phrases are hashed together.
+SLICE_CHARS = 1_000_000
+#: Distances of a trie's nodes: above any code point, and odd, so that keys of one character
+#: differ in the low bits that a dictionary looks at first.
+_ASCII_WIDTH, _WIDTH = 131, 0x110001
 EMPTY = "ffffffff" * HASHES
 
 
-def _parse(text: str, trie: dict[int, int], hashes: list[int], node: int) -> int:
-    """Goes on parsing from ``node``; new phrases join ``trie`` and ``hashes``. Returns the open node."""
+def _codes(text: str) -> Iterable[int]:
+    return text.encode() if text.isascii() else np.frombuffer(
+        text.encode("utf-32-le", "surrogatepass"), dtype="<u4").tolist()
+
+
+def _parse(codes: Iterable[int], trie: dict[int, int], node: int, width: int) -> int:
+    """Goes on parsing from ``node``; new phrases join ``trie``. Returns the open node.
+
+    Nodes are multiples of ``width`` in order of appearance, the root is 0. A phrase's key is
+    its parent's node plus its last code point, so ``trie`` alone tells the phrases in order.
+    """
     get = trie.get
-    add = hashes.append
-    for cp in map(ord, text):
-        key = (node << 21) | cp
-        child = get(key)
-        if child is None:
-            trie[key] = len(hashes)
-            add((hashes[node] * BASE + cp + 1) % PRIME)
-            node = 0
-        else:
-            node = child
+    new = (len(trie) + 1) * width
+    for code in codes:
+        key = node + code
+        node = get(key, 0)
+        if not node:
+            trie[key] = new
+            new += width
     return node
 
 
+def _hashes(parents: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of the phrases 1, 2, ... from those of their parents; 0 is the root.
+
+    Phrases of equal depth are hashed together, from the shallow to the deep.
+    """
+    parents = np.concatenate([[0], parents])
+    depth, above = (parents > 0).astype(np.int64), parents
+    while above.any():  # pointers double, so a chain of n phrases takes log n rounds
+        depth += depth[above]
+        above = above[above]
+    found = np.zeros(len(parents), dtype=np.uint64)
+    order = np.argsort(depth[1:], kind="stable") + 1
+    ends = np.cumsum(np.bincount(depth[1:]))
+    base, prime = np.uint64(BASE), np.uint64(PRIME)
+    for lo, hi in zip([0, *ends[:-1]], ends):
+        at = order[lo:hi]
+        h = found[parents[at]]
+        # h * BASE in two parts of 31 and 30 bits; 2**61 is 1 modulo the prime
+        high, low = (h >> np.uint64(31)) * base, (h & np.uint64((1 << 31) - 1)) * base
+        total = ((high >> np.uint64(30)) + ((high & np.uint64((1 << 30) - 1)) << np.uint64(31))
+                 + low + codes[at - 1] + np.uint64(1))
+        total = (total & prime) + (total >> np.uint64(61))
+        found[at] = np.where(total >= prime, total - prime, total)
+    return found[1:]
+
+
+def _least(found: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+    """The least mixes of each run of hashes, runs of ``sizes`` one after the other."""
+    least = np.full((len(sizes), HASHES), np.uint64(_MASK), dtype=np.uint64)
+    ends = np.cumsum(sizes)
+    run = 0
+    for at in range(0, len(found), _BLOCK):
+        mixed = _mix(found[at:at + _BLOCK, None] ^ _SEEDS)
+        done = 0
+        while done < len(mixed):
+            until = min(len(mixed), int(ends[run]) - at)
+            if until > done:
+                np.minimum(least[run], mixed[done:until].min(axis=0), out=least[run])
+                done = until
+            if ends[run] <= at + done:
+                run += 1
+    return least
+
+
+def _signatures(texts: Sequence[str], followings: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of texts and of their edits, one row each.
+
+    An LZ78 parse is decided left to right, so both parses are one up to the cut: it is
+    parsed and mixed once, and the state is copied for the two different ends.
+    """
+    sizes, keys, widths = [], [], []
+    for text, following in zip(texts, followings):
+        cut = len(text) // 4
+        keep = len(text) - cut
+        start, end, other_end = text[:keep], text[keep:], following[:cut]
+        width = _ASCII_WIDTH if text.isascii() and other_end.isascii() else _WIDTH
+        trie: dict[int, int] = {}
+        node = _parse(_codes(start), trie, 0, width)
+        common, other = len(trie), dict(trie)
+        _parse(_codes(end), trie, node, width)
+        _parse(_codes(other_end), other, node, width)
+        sizes.append((common, len(trie) - common, len(other) - common))
+        keys += [np.fromiter(trie, np.int64, len(trie)), np.fromiter(other, np.int64, len(other))[common:]]
+        widths.append(width)
+    runs = np.array(sizes, dtype=np.int64).reshape(-1, 3)
+    totals = runs.sum(axis=1)
+    parents, codes = np.divmod(np.concatenate(keys), np.repeat(widths, totals))
+    # phrases of the edit's end stand behind those of the text's own end
+    place = np.arange(len(parents)) - np.repeat(np.cumsum(totals) - totals, totals)
+    common, own = np.repeat(runs[:, 0], totals), np.repeat(runs[:, 1], totals)
+    parents += np.where((place >= common + own) & (parents > common), own, 0)
+    parents += np.where(parents > 0, np.repeat(np.cumsum(totals) - totals, totals), 0)
+    least = _least(_hashes(parents, codes.astype(np.uint64)), runs.ravel()).reshape(-1, 3, HASHES)
+    return tuple((np.minimum(least[:, 0], least[:, end]) >> np.uint64(32)).astype(np.uint32) for end in (1, 2))
+
+
 def phrases(text: str) -> list[int]:
     """Hashes of the LZ78 phrases of ``text``, one for each distinct phrase.
 
     The last phrase may repeat an earlier one; it is then not new and adds nothing.
     """
-    hashes = [0]
-    _parse(text, {}, hashes, 0)
-    return hashes[1:]
-
-
-def _signature_of(hashes: list[int]) -> np.ndarray:
-    found = np.asarray(hashes, dtype=np.uint64)
-    least = np.full(HASHES, np.uint64(_MASK), dtype=np.uint64)
-    for at in range(0, len(found), _BLOCK):
-        block = found[at:at + _BLOCK]
-        least = np.minimum(least, _mix(block[:, None] ^ _SEEDS[None, :]).min(axis=0))
-    return (least >> np.uint64(32)).astype(np.uint32)
+    trie: dict[int, int] = {}
+    _parse(_codes(text), trie, 0, _WIDTH)
+    parents, codes = np.divmod(np.fromiter(trie, np.int64, len(trie)), _WIDTH)
+    return _hashes(parents, codes.astype(np.uint64)).tolist()
 
 
 def _hex(signature_: np.ndarray) -> str:
     return signature_.astype(">u4").tobytes().hex()
 
 
-def pair(text: str, following: str) -> tuple[str, str, str]:
-    """Fingerprints of ``text`` and of its edit by ``following``, and the edited text.
+def pairs(texts: Sequence[str], followings: Sequence[str],
+          chars: int = SLICE_CHARS) -> Iterator[tuple[str, str, str]]:
+    """For each text and its following one: fingerprints of the text and of its edit, the edited text between.
 
-    An LZ78 parse is decided left to right, so both parses are one up to the cut: it is
-    parsed once, and the state is copied for the two different ends.
+    Texts are parsed one by one, and hashed and mixed in slices of about ``chars`` characters.
     """
-    cut = len(text) // 4
-    keep = len(text) - cut
-    trie, hashes = {}, [0]
-    node = _parse(text[:keep], trie, hashes, 0)
-    other_trie, other_hashes = dict(trie), list(hashes)
-    _parse(text[keep:], trie, hashes, node)
-    _parse(following[:cut], other_trie, other_hashes, node)
-    return (_hex(_signature_of(hashes[1:])), text[:keep] + following[:cut],
-            _hex(_signature_of(other_hashes[1:])))
+    at = 0
+    while at < len(texts):
+        upto, size = at + 1, len(texts[at])
+        while upto < len(texts) and size + len(texts[upto]) <= chars:
+            size += len(texts[upto])
+            upto += 1
+        own, other = _signatures(texts[at:upto], followings[at:upto])
+        for i in range(upto - at):
+            yield _hex(own[i]), edit(texts[at + i], followings[at + i]), _hex(other[i])
+        at = upto
+
+
+def pair(text: str, following: str) -> tuple[str, str, str]:
+    """``pairs`` of one text."""
+    return next(pairs([text], [following]))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -109,7 +194,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def signature(text: str) -> np.ndarray:
     """``HASHES`` minima, each of the upper 32 bits of one mix of the phrase hashes."""
-    return _signature_of(phrases(text))
+    found = np.asarray(phrases(text), dtype=np.uint64)
+    return (_least(found, [len(found)])[0] >> np.uint64(32)).astype(np.uint32)
 
 
 def fingerprint(text: str) -> str:
@@ -170,17 +256,19 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     parsed = None  # (id, text, own, edited text, edited fingerprint): waits for the next fingerprint
     part = None
     for batch in batches:
-        out = []
-        for part, doc_id, text in zip(batch["part"], batch["doc_id"], batch["text"]):
-            if held is not None:
-                own, edited_text, edited_fp = pair(held[1], text)
-                if parsed is None:
-                    out.append({"kind": "first", "doc_id": held[0], "fingerprint": own, "text": held[1],
-                                "part": int(part)})
-                else:
-                    out.append(_row(*parsed, own) | {"part": int(part)})
-                parsed = (held[0], held[1], own, edited_text, edited_fp)
-            held = (doc_id, text)
+        if batch.empty:
+            continue
+        out, part = [], int(batch["part"].iloc[0])
+        ids, texts = list(batch["doc_id"]), list(batch["text"])
+        if held is not None:
+            ids, texts = [held[0], *ids], [held[1], *texts]
+        for doc_id, text, (own, edited_text, edited_fp) in zip(ids, texts, pairs(texts[:-1], texts[1:])):
+            if parsed is None:
+                out.append({"kind": "first", "doc_id": doc_id, "fingerprint": own, "text": text, "part": part})
+            else:
+                out.append(_row(*parsed, own) | {"part": part})
+            parsed = (doc_id, text, own, edited_text, edited_fp)
+        held = (ids[-1], texts[-1])
         if out:
             yield _frame(out)
     if held is not None:
@@ -188,7 +276,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = [{"kind": "first", "doc_id": held[0], "fingerprint": own, "text": held[1]}] if parsed is None \
             else [_row(*parsed, own)]
         out.append({"kind": "last", "doc_id": held[0], "fingerprint": own, "text": held[1]})
-        yield _frame([r | {"part": int(part)} for r in out])
+        yield _frame([r | {"part": part} for r in out])
 
 
 def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

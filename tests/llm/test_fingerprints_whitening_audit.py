@@ -38,6 +38,40 @@ def test_shared_parse_equals_two_parses(a, b):
     assert fingerprints.pair(a, b) == (fingerprints.fingerprint(a), edited, fingerprints.fingerprint(edited))
 
 
+def _lz_hashes(text):
+    """Phrase hashes from the definition, as Python integers."""
+    hash_of, phrase = {"": 0}, ""
+    for ch in text:
+        if phrase + ch in hash_of:
+            phrase += ch
+        else:
+            hash_of[phrase + ch] = (hash_of[phrase] * fingerprints.BASE + ord(ch) + 1) % fingerprints.PRIME
+            phrase = ""
+    return list(hash_of.values())[1:]
+
+
+def test_hashes_follow_their_definition():
+    for text in ("", "abababab", "x" * 3000, "Zürich 日本 \U0010ffff" * 40, long_text(3, 2000)):
+        assert fingerprints.phrases(text) == _lz_hashes(text)
+
+
+def test_pairs_of_many_texts_in_small_slices():
+    texts = ["", "abc", "x" * 999, long_text(5, 300), "", "Zürich " * 40, "日本語" * 30]
+    following = texts[1:] + texts[:1]
+    assert list(fingerprints.pairs(texts, following, chars=50)) == [
+        fingerprints.pair(a, b) for a, b in zip(texts, following)]
+
+
+def test_the_shared_start_is_mixed_once(monkeypatch):
+    mixed, mix = [], fingerprints._mix
+    monkeypatch.setattr(fingerprints, "_mix", lambda x: mixed.append(len(x)) or mix(x))
+    a, b = long_text(5, 2000), long_text(6, 2000)
+    fingerprints.pair(a, b)
+    start = a[:len(a) - len(a) // 4]
+    own, edited = len(_lz_strings(a)), len(_lz_strings(fingerprints.edit(a, b)))
+    assert sum(mixed) == own + edited - len(_lz_strings(start))
+
+
 def test_likeness_estimates_jaccard_of_phrase_sets():
     for seed in range(4):
         a = long_text(seed, 400)
