@@ -16,17 +16,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_risk.llm.vocab import SPACE, Vocabulary, load
 
-#: Words whose encoding a worker remembers; then it starts anew.
-CACHE_WORDS = 500_000
+#: Words whose encoding a worker remembers; then it keeps those that its current texts use.
+CACHE_WORDS = 300_000
 #: Longest prefix whose whole encoding is kept; that of a longer one is read backwards.
 SHORT_BYTES = 64
-#: Characters of text that are encoded at a time.
+#: Characters of text in a slice of a list.
 SLICE_CHARS = 4_000_000
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 2_000_000
 
 _END = -1
 #: A space that white space follows, or that ends the text.
@@ -109,10 +112,10 @@ class Encoder:
         cut = [None if _RUN(text) else text.split(" ") for text in texts]
         heads = [words(text) if chunks is None else words(chunks[0])
                  for text, chunks in zip(texts, cut)]
-        fresh = set().union(*(chunks[1:] for chunks in cut if chunks)).difference(self.chunks)
+        needed = set().union(*(chunks[1:] for chunks in cut if chunks))
+        fresh = needed.difference(self.chunks)
         if len(self.chunks) + len(fresh) > self.cache_words:
-            self.chunks = {}
-            fresh = set().union(*(chunks[1:] for chunks in cut if chunks))
+            self.chunks = {c: self.chunks[c] for c in needed.difference(fresh)}
         # letters alone are one word, whose encoding needs no second entry
         plain = {chunk for chunk in fresh if chunk.isascii() and chunk.isalpha()}
         found = encode_packed(self.vocabulary, (f" {chunk}".encode() for chunk in plain))
@@ -128,7 +131,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         missing = words.difference(self.known)
         if len(self.known) + len(missing) > self.cache_words:
-            self.known, missing = {}, words
+            self.known = {w: self.known[w] for w in words.difference(missing)}
         found = encode_packed(self.vocabulary, (w.encode() for w in missing))
         self.known.update((w.decode(), packed) for w, packed in found)
 
@@ -195,21 +198,21 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text",
     A null text counts as empty: no ids. Special tokens that a text holds become their ids.
     Rows are neither joined nor compared, so repeated ids and rows stay as they are.
     """
-    source = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    fields = source.schema.fields[:-1]
+    source, text_at = _source(df, text_col, keep)
+    fields = source.schema.fields[:len(keep)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
                         "ids array<int>", "decoded string"])
 
     def run(batches):
         _, encoder, table = _worker(vocabulary_path)
         for batch in batches:
-            for at, texts in _cut(batch):
+            for at, texts in _cut(batch, text_at):
                 packed = encoder.packed(texts)
                 ids = [np.frombuffer(p, dtype="<i4") for p in packed]
                 yield pa.RecordBatch.from_arrays(
-                    [*at.columns[:-1], pa.array(ids, pa.list_(pa.int32())),
+                    [*at.columns[:len(fields)], pa.array(ids, pa.list_(pa.int32())),
                      pa.array([decode_gathered(table, p) for p in packed], pa.string())],
-                    [*at.schema.names[:-1], "ids", "decoded"])
+                    [*at.schema.names[:len(fields)], "ids", "decoded"])
 
     return source.mapInArrow(run, schema)
 
@@ -220,30 +223,40 @@ def digests(df: DataFrame, vocabulary_path: str, text_col: str = "text",
 
     For readers that only compare: the ids themselves don't leave the worker.
     """
-    source = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    fields = source.schema.fields[:-1]
+    source, text_at = _source(df, text_col, keep)
+    fields = source.schema.fields[:len(keep)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
                         "n_tokens bigint, ids_sha256 string, decoded_sha256 string"])
 
     def run(batches):
         _, encoder, table = _worker(vocabulary_path)
         for batch in batches:
-            for at, texts in _cut(batch):
+            for at, texts in _cut(batch, text_at):
                 packed = encoder.packed(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*at.columns[:-1],
+                    [*at.columns[:len(fields)],
                      pa.array([len(p) // 4 for p in packed], pa.int64()),
                      pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
                      pa.array([hashlib.sha256(decode_gathered(table, p).encode()).hexdigest()
                                for p in packed])],
-                    [*at.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"])
+                    [*at.schema.names[:len(fields)], "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return source.mapInArrow(run, schema)
 
 
-def _cut(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch with the texts of its last column."""
-    at = 0
-    for texts in slices(batch.column(batch.num_columns - 1).to_pylist()):
-        yield batch.slice(at, len(texts)), texts
-        at += len(texts)
+def _source(df: DataFrame, text_col: str, keep: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """The columns ``keep`` and the text, and the text's place; a kept text is not sent twice."""
+    if text_col in keep and dict(df.dtypes)[text_col] == "string":
+        return df.select(*keep), keep.index(text_col)
+    return df.select(*keep, F.col(text_col).cast("string").alias("_text")), len(keep)
+
+
+def _cut(batch: pa.RecordBatch, text_at: int, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch of about ``size`` bytes of text, one row at least, with their texts."""
+    column = batch.column(text_at)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, before = 0, 0
+    while at < len(ends):
+        upto = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(at, upto - at), [text or "" for text in column.slice(at, upto - at).to_pylist()]
+        at, before = upto, int(ends[upto - 1])

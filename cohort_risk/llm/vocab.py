@@ -20,6 +20,8 @@ NEWER = (
     "1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 "
     "3d000-3fc3f"
 )
+#: Pairs of tokens whose verdict is remembered.
+JOINED_PAIRS = 300_000
 _newer = "".join("-".join(rf"\U{int(c, 16):08x}" for c in r.split("-")) for r in NEWER.split())
 LETTER, DIGIT = rf"[\p{{L}}--[{_newer}]]", rf"[\p{{N}}--[{_newer}]]"
 SPLIT = (
@@ -126,7 +128,7 @@ class Vocabulary:
         """
         known = self.joined.get((first, second))
         if known is None:
-            if len(self.joined) > 2_000_000:
+            if len(self.joined) >= JOINED_PAIRS:
                 self.joined.clear()
             known = self.joined[first, second] = self._unmerged(first, second)
         return known

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -37,6 +38,36 @@ def test_words_of_a_trie(library):
             assert bpe.decode(encoder.vocabulary, packed) == text
 
 
+def test_a_full_memory_keeps_the_words_in_use(monkeypatch, library):
+    encoded, encode_packed = [], bpe.encode_packed
+    monkeypatch.setattr(bpe, "encode_packed",
+                        lambda v, words: encode_packed(v, [encoded.append(w) or w for w in words]))
+    encoder = bpe.Encoder(load(PATH), cache_words=20)
+    for i in range(12):
+        text = "the common words 7th it's " + " ".join(f"{chr(97 + i)}{chr(97 + k)}q" for k in range(8))
+        assert encoder.packed([text]) == [b"".join(i.to_bytes(4, "little") for i in expected(library, text))]
+        assert len(encoder.chunks) <= 20
+    assert encoded.count(b" common") == encoded.count(b" 7") == 1
+
+
+def test_a_kept_text_reaches_the_workers_once(docs, library):
+    table = docs([(1, "a  b"), (2, None), (3, "")])
+    source, at = bpe._source(table, "text", ("doc_id", "text"))
+    assert (source.columns, at) == (["doc_id", "text"], 1)
+    rows = {r["doc_id"]: r for r in bpe.encode(table, PATH, keep=("doc_id", "text")).collect()}
+    assert [rows[i]["text"] for i in (1, 2, 3)] == ["a  b", None, ""]
+    assert [(rows[i]["ids"], rows[i]["decoded"]) for i in (1, 2, 3)] == [(expected(library, "a  b"), "a  b"), ([], ""), ([], "")]
+
+
+def test_batches_are_cut_by_bytes_of_text():
+    texts = ["é" * 40, None, "", "x" * 500, "y", "z" * 99, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts, pa.string())], ["doc_id", "text"])
+    parts = list(bpe._cut(batch, 1, size=100))
+    assert [p.column(0).to_pylist() for p, _ in parts] == [[0, 1, 2], [3], [4, 5, 6]]
+    assert [t for _, part in parts for t in part] == [t or "" for t in texts]
+    assert list(bpe._cut(batch.slice(0, 0), 1)) == []
+
+
 def test_every_token_is_its_own_encoding():
     vocabulary = load(PATH)
     assert all(len(ids) == 1 for _, ids in bpe.encode_words(vocabulary, vocabulary.by_bytes))
