@@ -24,12 +24,14 @@ from cohort_risk.llm.vocab import SPACE, Vocabulary, load
 
 #: Words whose encoding a worker remembers; then it keeps those that its current texts use.
 CACHE_WORDS = 300_000
+#: The same where no ids and texts go back to Spark, which leaves room for more.
+DIGEST_WORDS = 500_000
 #: Longest prefix whose whole encoding is kept; that of a longer one is read backwards.
 SHORT_BYTES = 64
 #: Characters of text in a slice of a list.
 SLICE_CHARS = 4_000_000
-#: Bytes of text that are encoded at a time.
-SLICE_BYTES = 2_000_000
+#: Bytes of text that are encoded at a time; likewise.
+SLICE_BYTES, DIGEST_BYTES = 2_000_000, 4_000_000
 
 _END = -1
 #: A space that white space follows, or that ends the text.
@@ -169,13 +171,13 @@ def decode_gathered(table: tuple[np.ndarray, np.ndarray, np.ndarray], packed: by
 
 
 @lru_cache(maxsize=4)
-def _worker(path: str) -> tuple[Vocabulary, Encoder, tuple]:
+def _worker(path: str, cache_words: int = CACHE_WORDS) -> tuple[Vocabulary, Encoder, tuple]:
     """Vocabulary, encoder and byte table of ``path``, once per worker process.
 
-    The encoder's memory of words thus outlives a task; it stays bounded by ``CACHE_WORDS``.
+    The encoder's memory of words thus outlives a task; it stays bounded by ``cache_words``.
     """
     vocabulary = load(path)
-    return vocabulary, Encoder(vocabulary), _byte_table(vocabulary)
+    return vocabulary, Encoder(vocabulary, cache_words), _byte_table(vocabulary)
 
 
 def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -229,9 +231,9 @@ def digests(df: DataFrame, vocabulary_path: str, text_col: str = "text",
                         "n_tokens bigint, ids_sha256 string, decoded_sha256 string"])
 
     def run(batches):
-        _, encoder, table = _worker(vocabulary_path)
+        _, encoder, table = _worker(vocabulary_path, DIGEST_WORDS)
         for batch in batches:
-            for at, texts in _cut(batch, text_at):
+            for at, texts in _cut(batch, text_at, DIGEST_BYTES):
                 packed = encoder.packed(texts)
                 yield pa.RecordBatch.from_arrays(
                     [*at.columns[:len(fields)],
